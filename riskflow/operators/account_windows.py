@@ -28,6 +28,7 @@ def account_windows(
     columns: Sequence[str] = ROLLING + SEQUENCE,
     frame: str = "rows",
     row_id: str = "txn_id",
+    is_transfer: Column | None = None,
     hot: HotKeys | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
@@ -36,34 +37,42 @@ def account_windows(
     ``txn_count_24h``, ``avg_amount_24h``: rows and mean amount of the last 24 rows
     (``frame="rows"``) or of the last 24 hours, all rows of this hour included
     (``frame="hours"``); ``step_gap``: hours since the previous row, null for the first;
-    ``last_transfer_step``: hour of the latest transfer up to and including this row, from
-    the 0/1 column ``is_transfer``.
+    ``last_transfer_step``: hour of the latest row up to and including this one for which
+    ``is_transfer`` holds.
 
     ``hot`` takes the result of an earlier ``hot_keys`` on the same rows.
     """
     if frame not in ("rows", "hours"):
         raise ValueError(f"frame must be 'rows' or 'hours', not {frame!r}")
+    transfer = F.lit(False) if is_transfer is None else is_transfer
     hot = hot_keys(df, account, hot_rows) if hot is None else hot
     if not hot.values:
-        return _plain(df, [account], columns, frame, row_id)
+        return _plain(df, [account], columns, frame, row_id, transfer)
     is_hot = hot.match(F.col(account))
-    usual = _plain(df.filter(~is_hot), [account], columns, frame, row_id)
-    split = _chunked(df.filter(is_hot), account, columns, frame, row_id, hot.limit)
+    usual = _plain(df.filter(~is_hot), [account], columns, frame, row_id, transfer)
+    split = _chunked(df.filter(is_hot), account, columns, frame, row_id, transfer, hot.limit)
     return usual.unionByName(split)
 
 
 def _plain(
-    df: DataFrame, keys: Sequence[str], columns: Sequence[str], frame: str, row_id: str
+    df: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    frame: str,
+    row_id: str,
+    transfer: Column,
 ) -> DataFrame:
     ordered = W.Window.partitionBy(*keys).orderBy("step", row_id)
     span = ordered.rowsBetween(_BEFORE, 0)
     if frame == "hours":
         span = W.Window.partitionBy(*keys).orderBy("step").rangeBetween(_BEFORE, 0)
-    return df.select("*", *_window_columns(columns, span, ordered))
+    return df.select("*", *_window_columns(columns, span, ordered, transfer))
 
 
-def _window_columns(columns: Sequence[str], span: WindowSpec, ordered: WindowSpec) -> list[Column]:
-    transfer_step = F.when(F.col("is_transfer") == 1, F.col("step"))
+def _window_columns(
+    columns: Sequence[str], span: WindowSpec, ordered: WindowSpec, transfer: Column
+) -> list[Column]:
+    transfer_step = F.when(transfer, F.col("step"))
     made = {
         "txn_count_24h": lambda: F.count(F.lit(1)).over(span),
         "avg_amount_24h": lambda: F.avg("amount").over(span),
@@ -79,12 +88,18 @@ def _window_columns(columns: Sequence[str], span: WindowSpec, ordered: WindowSpe
 
 
 def _chunked(
-    df: DataFrame, account: str, columns: Sequence[str], frame: str, row_id: str, limit: int
+    df: DataFrame,
+    account: str,
+    columns: Sequence[str],
+    frame: str,
+    row_id: str,
+    transfer: Column,
+    limit: int,
 ) -> DataFrame:
     given = df.columns
-    for name in ("amount", "is_transfer"):
-        if name not in given:
-            df = df.withColumn(name, F.lit(None))
+    if "amount" not in given:
+        df = df.withColumn("amount", F.lit(None).cast("double"))
+    df = df.withColumn("_is_transfer", F.coalesce(transfer, F.lit(False)))
     rows = _with_chunks(df, account, row_id, limit)
     wanted = [c for c in columns if frame == "rows" or c in SEQUENCE]
     if wanted:
@@ -130,16 +145,16 @@ def _with_halo(
 
     # The last rows of each chunk, transfers and others apart, so that the latest transfer is
     # among them. A rank filter like this is applied before the shuffle as well as after it.
-    latest = W.Window.partitionBy(*chunk, "is_transfer").orderBy(F.desc(row_id))
+    latest = W.Window.partitionBy(*chunk, "_is_transfer").orderBy(F.desc(row_id))
     kept = (
-        rows.select(*chunk, "step", row_id, "amount", "is_transfer")
+        rows.select(*chunk, "step", row_id, "amount", "_is_transfer")
         .withColumn("_rank", F.row_number().over(latest))
         .filter(F.col("_rank") <= reach)
     )
-    row = F.struct("step", row_id, "amount", "is_transfer")
+    row = F.struct("step", row_id, "amount", "_is_transfer")
     ends = kept.groupBy(*chunk).agg(
         F.sort_array(F.collect_list(row)).alias("_rows"),
-        F.max(F.when(F.col("is_transfer") == 1, row)).alias("_transfer"),
+        F.max(F.when(F.col("_is_transfer"), row)).alias("_transfer"),
     )
 
     # Per account, in chunk order: the last rows and the latest transfer of all earlier chunks.
@@ -168,7 +183,8 @@ def _with_halo(
     ).select(*chunk, "_row.*", F.lit(True).alias("_halo"))
 
     both = rows.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
-    return _plain(both, chunk, columns, "rows", row_id).filter(~F.col("_halo")).drop("_halo")
+    windowed = _plain(both, chunk, columns, "rows", row_id, F.col("_is_transfer"))
+    return windowed.filter(~F.col("_halo")).drop("_halo")
 
 
 def _div(a: Column, b: Column) -> Column:

@@ -52,30 +52,39 @@ def threshold_confusion(
     grid = [float(t) for t in thresholds]
     if sorted(set(grid)) != grid:
         raise ValueError("thresholds must be distinct and ascending")
-    # A bucket includes its lower limit, as the decision includes its threshold.
+    # A bucket includes its lower limit, as the decision includes its threshold. A missing
+    # score becomes NaN, which the bucketizer refuses.
     reached = Bucketizer(
         splits=[float("-inf"), *grid, float("inf")], inputCol="_score", outputCol="_reached"
     ).transform(
         scored.select(
-            F.col(score).cast("double").alias("_score"),
+            F.coalesce(F.col(score).cast("double"), F.lit(float("nan"))).alias("_score"),
             F.col(label).alias("_label"),
             F.col("amount").cast(MONEY).alias("_amount"),
         )
     )
-    fraud = F.col("_label") == 1
-    counts = reached.groupBy(F.col("_reached").cast("long").alias("_k")).agg(
-        F.count_if(fraud).alias("_pos"),
-        F.count_if(~fraud).alias("_neg"),
-        F.sum(F.when(fraud, F.col("_amount"))).alias("_pos_amount"),
-        F.sum(F.when(~fraud, F.col("_amount"))).alias("_neg_amount"),
+    # One unlabelled row per threshold number keeps the empty ones in the result.
+    steps = scored.sparkSession.range(len(grid) + 1).select(
+        F.col("id").alias("_k"), F.lit(None).alias("_label"), F.lit(None).alias("_amount")
+    )
+    fraud, legitimate = F.col("_label") == 1, F.col("_label") == 0
+    counts = (
+        reached.select(F.col("_reached").cast("long").alias("_k"), "_label", "_amount")
+        .union(steps)
+        .groupBy("_k")
+        .agg(
+            F.count_if(fraud).alias("_pos"),
+            F.count_if(legitimate).alias("_neg"),
+            F.sum(F.when(fraud, F.col("_amount"))).alias("_pos_amount"),
+            F.sum(F.when(legitimate, F.col("_amount"))).alias("_neg_amount"),
+        )
     )
     # From here on one row per threshold. The value k of a row with threshold number k says
     # that rows below k are approved.
-    steps = scored.sparkSession.range(len(grid) + 1).withColumnRenamed("id", "_k")
     all_rows = W.Window.orderBy("_k")
     below = all_rows.rowsBetween(W.Window.unboundedPreceding, -1)
     whole = all_rows.rowsBetween(W.Window.unboundedPreceding, W.Window.unboundedFollowing)
-    summed = steps.join(counts, "_k", "left").select(
+    summed = counts.select(
         "_k",
         *(
             F.coalesce(F.sum(c).over(frame), F.lit(0)).alias(f"{c}{suffix}")

@@ -60,7 +60,7 @@ def ranked_drivers(drivers: Column, n: int = TOP_DRIVERS) -> Column:
         ),
     )
     return F.transform(
-        F.slice(F.array_sort(keyed), 1, n),
+        F.slice(F.sort_array(keyed), 1, n),
         lambda d: F.struct(
             d["feature"].alias("feature"),
             d["shap_impact"].alias("shap_impact"),
@@ -128,7 +128,7 @@ def riskiest(explained: DataFrame) -> DataFrame:
 def driver_table(explained: DataFrame) -> DataFrame:
     """Drivers for presentation, weakest push first within a transaction, with texts of two
     decimals."""
-    ordered = F.array_sort(
+    ordered = F.sort_array(
         F.transform(
             "top_risk_drivers",
             lambda d: F.struct(d["shap_impact"].alias("shap_impact"), d["feature"], d["actual_value"]),

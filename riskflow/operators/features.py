@@ -78,8 +78,10 @@ def behavior_features(
 ) -> DataFrame:
     """Recency, amount ratio, type flags and the transfer-then-cash-out sequence, for a
     processed table that has its rolling mean."""
-    flagged = df.withColumns(_type_flags())
-    windowed = account_windows(flagged, account, SEQUENCE, hot=hot, hot_rows=hot_rows)
+    transfer = F.col("txn_type_TRANSFER") == 1
+    windowed = account_windows(
+        df, account, SEQUENCE, is_transfer=transfer, hot=hot, hot_rows=hot_rows
+    )
     return _finish_behavior(windowed)
 
 
@@ -92,14 +94,13 @@ def preprocess(
 ) -> DataFrame:
     """Raw transactions to the processed table; ``tx`` needs a unique ``txn_id``.
 
-    Windows run on the raw origin name and the hash follows, so that the exchange carries a
-    short name instead of two 64-character digests. Equal names have equal hashes, hence the
-    groups are the same.
+    Windows run on the raw origin name, and hashes, time parts and type flags follow, so that
+    the exchange carries neither 64-character digests nor derived columns. Equal names have
+    equal hashes, hence the groups are the same.
     """
     raw = drop_leakage(require_columns(tx))
-    timed = one_hot_types(add_time_features(raw))
-    rolled = rolling_features(timed, "nameOrig", frame, hot, hot_rows)
-    return hash_identifiers(rolled, salt).select(*PROCESSED_COLUMNS)
+    rolled = rolling_features(raw, "nameOrig", frame, hot, hot_rows)
+    return _describe(rolled, salt).select(*PROCESSED_COLUMNS)
 
 
 def feature_table(
@@ -111,22 +112,24 @@ def feature_table(
 ) -> DataFrame:
     """``preprocess`` and ``behavior_features`` in one plan with a single account exchange."""
     raw = drop_leakage(require_columns(tx))
-    timed = one_hot_types(add_time_features(raw)).withColumns(_type_flags())
     windowed = account_windows(
-        timed, "nameOrig", ROLLING + SEQUENCE, frame, hot=hot, hot_rows=hot_rows
+        raw,
+        "nameOrig",
+        ROLLING + SEQUENCE,
+        frame,
+        is_transfer=F.col("type") == "TRANSFER",
+        hot=hot,
+        hot_rows=hot_rows,
     ).withColumn("amount_deviation", _deviation())
-    return _finish_behavior(hash_identifiers(windowed, salt)).select(*FEATURE_COLUMNS)
+    return _finish_behavior(_describe(windowed, salt)).select(*FEATURE_COLUMNS)
 
 
-def _deviation() -> Column:
-    return F.col("amount") - F.col("avg_amount_24h")
+def _describe(df: DataFrame, salt: str) -> DataFrame:
+    return hash_identifiers(one_hot_types(add_time_features(df)), salt)
 
 
-def _type_flags() -> dict[str, Column]:
-    return {
-        "is_transfer": F.coalesce(F.col("txn_type_TRANSFER"), F.lit(0)).cast("byte"),
-        "is_cash_out": F.coalesce(F.col("txn_type_CASH_OUT"), F.lit(0)).cast("byte"),
-    }
+def _deviation() -> Column:
+    return F.col("amount") - F.col("avg_amount_24h")
 
 
 def _finish_behavior(windowed: DataFrame) -> DataFrame:
@@ -134,8 +137,13 @@ def _finish_behavior(windowed: DataFrame) -> DataFrame:
     recent = F.coalesce(
         F.col("step") - F.col("last_transfer_step") <= SEQUENCE_GAP_HOURS, F.lit(False)
     ).cast("byte")
+    flags = {
+        "is_transfer": F.coalesce(F.col("txn_type_TRANSFER"), F.lit(0)).cast("byte"),
+        "is_cash_out": F.coalesce(F.col("txn_type_CASH_OUT"), F.lit(0)).cast("byte"),
+    }
     return windowed.withColumns(
         {
+            **flags,
             # ``least`` skips nulls: without the test a first row would get the cap, not 0.
             "time_since_last_txn_hr": F.when(gap.isNull(), 0)
             .otherwise(F.least(gap, F.lit(RECENCY_CAP_HOURS)))
@@ -144,6 +152,6 @@ def _finish_behavior(windowed: DataFrame) -> DataFrame:
                 "float"
             ),
             "transfer_in_last_6h": recent,
-            "transfer_then_cashout_6h": (recent * F.col("is_cash_out")).cast("byte"),
+            "transfer_then_cashout_6h": (recent * flags["is_cash_out"]).cast("byte"),
         }
     ).drop("step_gap", "last_transfer_step")
