@@ -209,13 +209,17 @@ def _with_hour_totals(rows: DataFrame, account: str, columns: Sequence[str]) ->
     totals = hours.select(
         F.col(account).alias("_a"),
         F.col("_hour").alias("_h"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)).alias("_p"),
+        F.col("_parts"),
         F.sum("_n").over(span).alias("txn_count_24h"),
         F.try_divide(F.sum("_sum").over(span), F.sum("_known").over(span)).alias("avg_amount_24h"),
     )
+    # Only now one copy per chunk: the window above counts each hour once.
+    per_chunk = totals.withColumn(
+        "_p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))
+    ).drop("_parts")
     same_chunk = (
         rows[account].eqNullSafe(F.col("_a"))
         & rows["_hour"].eqNullSafe(F.col("_h"))
         & (rows["_part"] == F.col("_p"))
     )
-    return rows.join(totals, same_chunk, "left")
+    return rows.join(per_chunk, same_chunk, "left")
