@@ -93,7 +93,9 @@ def threshold_confusion(
         ),
     )
     return summed.filter(F.col("_k") > 0).select(
-        F.element_at(F.lit(grid), F.col("_k").cast("int")).alias("threshold"),
+        F.element_at(
+            F.expr(f"array({','.join(f'{t}D' for t in grid)})"), F.col("_k").cast("int")
+        ).alias("threshold"),
         (F.col("_pos_whole") - F.col("_pos_below")).alias("tp"),
         (F.col("_neg_whole") - F.col("_neg_below")).alias("fp"),
         F.col("_neg_below").alias("tn"),

@@ -47,9 +47,9 @@ def explain_scope(
     raise ValueError(f"scope must be 'top_n' or 'declined', not {scope!r}")
 
 
-def ranked_drivers(drivers: Column, n: int = TOP_DRIVERS) -> Column:
-    """The ``n`` strongest drivers in either direction, ties by feature name, each with the
-    direction it moves the score. Ordinary struct ordering does the sorting."""
+def ranked_drivers(drivers: Column, n: int = TOP_DRIVERS, direction: bool = False) -> Column:
+    """The ``n`` strongest drivers whatever their sign, ties by feature name; with
+    ``direction`` each also says which way it moves the score. Plain struct ordering sorts."""
     keyed = F.transform(
         drivers,
         lambda d: F.struct(
@@ -59,18 +59,16 @@ def ranked_drivers(drivers: Column, n: int = TOP_DRIVERS) -> Column:
             d["actual_value"].alias("actual_value"),
         ),
     )
-    return F.transform(
-        F.slice(F.sort_array(keyed), 1, n),
-        lambda d: F.struct(
-            d["feature"].alias("feature"),
-            d["shap_impact"].alias("shap_impact"),
-            d["actual_value"].alias("actual_value"),
-            F.when(d["shap_impact"] > 0, "up")
-            .when(d["shap_impact"] < 0, "down")
-            .otherwise("none")
-            .alias("direction"),
-        ),
-    )
+
+    def shown(d: Column) -> Column:
+        fields = [d[c].alias(c) for c in ("feature", "shap_impact", "actual_value")]
+        if direction:
+            impact = d["shap_impact"]
+            way = F.when(impact > 0, "up").when(impact < 0, "down").otherwise("none")
+            fields.append(way.alias("direction"))
+        return F.struct(*fields)
+
+    return F.transform(F.slice(F.sort_array(keyed), 1, n), shown)
 
 
 def lookup(queue: DataFrame, contributions: DataFrame, bounded: bool = False) -> DataFrame:
@@ -82,7 +80,7 @@ def lookup(queue: DataFrame, contributions: DataFrame, bounded: bool = False) ->
 
 def top_drivers(contributions: DataFrame, n: int = TOP_DRIVERS) -> DataFrame:
     """Long form: one row per transaction and driver, ranked from 1."""
-    return contributions.select("txn_id", F.posexplode(ranked_drivers(F.col("drivers"), n))).select(
+    return contributions.select("txn_id", F.posexplode(ranked_drivers(F.col("drivers"), n, direction=True))).select(
         "txn_id", (F.col("pos") + 1).alias("rank"), "col.*"
     )
 
@@ -91,19 +89,11 @@ def explanations(
     contributions: DataFrame, n: int = TOP_DRIVERS, score: str = "score", label: str = "isFraud"
 ) -> DataFrame:
     """One nested document per transaction."""
-    strongest = F.transform(
-        ranked_drivers(F.col("drivers"), n),
-        lambda d: F.struct(
-            d["feature"].alias("feature"),
-            d["shap_impact"].alias("shap_impact"),
-            d["actual_value"].alias("actual_value"),
-        ),
-    )
     return contributions.select(
         F.col("txn_id").alias("transaction_index"),
         F.col(score).alias("predicted_risk_score"),
         F.col(label).cast("int").alias("actual_is_fraud_label"),
-        strongest.alias("top_risk_drivers"),
+        ranked_drivers(F.col("drivers"), n).alias("top_risk_drivers"),
     )
 
 

@@ -335,6 +335,6 @@ def all_sql() -> dict[str, str]:
             round(avg(llm_latency_ms) filter (where error is null), 6) as avg_latency_ms,
             min(llm_latency_ms) filter (where error is null) as min_latency_ms,
             max(llm_latency_ms) filter (where error is null) as max_latency_ms,
-            cast(quantile_disc(llm_latency_ms, 0.5) filter (where error is null) as bigint) as median_latency_ms
+            cast(quantile_cont(llm_latency_ms, 0.5) filter (where error is null) as double) as median_latency_ms
             from audit group by 1, 2, 3""",
     }

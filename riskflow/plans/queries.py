@@ -486,8 +486,10 @@ def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def model_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     trained, path, _ = _trained(spark, sf_dir)
+    stored = scratch_dir(spark, "scored")
     test_days = split.time_split(_scored_by_model(spark, sf_dir))[2]
-    chosen = explain.explain_sample(test_days)
+    tables.write_parquet(test_days, stored, None)  # two choices of rows read the scores
+    chosen = explain.explain_sample(tables.read_parquet(spark, stored))
     explained = shapley.contributions(trained.model, chosen, path)
     return explained.select("txn_id", "score", "base_value", F.inline("drivers"))
 

@@ -28,10 +28,13 @@ _CONTRIBUTIONS = (
 )
 NARRATIVE_TERMS = ("license",)
 
+EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw transactions, balances included."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
     kind = F.col("event_type")
     value = F.col("value")
     type_name = F.lit(None)
@@ -86,7 +89,7 @@ def contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts, latencies and errors of an external text generator."""
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    documents = spark.read.schema(DOCUMENTS).parquet(f"{sf_dir}/documents.parquet")
     return documents.select(
         F.col("doc_id").alias("txn_id"),
         F.col("text").alias("narrative"),

@@ -15,6 +15,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the call site of every column expression slows the building of plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
