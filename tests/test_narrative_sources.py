@@ -78,6 +78,13 @@ def test_telemetry_keeps_failed_calls_apart(spark):
     assert (got["avg_latency_ms"], got["min_latency_ms"], got["max_latency_ms"]) == (40.0, 20, 60)
 
 
+def test_narrative_of_an_unknown_transaction_is_logged(spark):
+    scored = spark.createDataFrame([(1, 0.9)], "txn_id long, score double")
+    checked = narrative.guardrail_check(spark.createDataFrame([(5, "fine", 40, None)], RESULTS))
+    row = narrative.audit_records(policy.apply_policy(scored), checked).first()
+    assert (row["transaction_index"], row["risk_score"], row["decision"]) == (5, None, None)
+
+
 def test_audit_log_appends(spark, tmp_path):
     path = str(tmp_path / "log")
     audit_log.append_audit(audit_rows(spark), path)
