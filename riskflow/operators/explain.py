@@ -47,28 +47,26 @@ def explain_scope(
     raise ValueError(f"scope must be 'top_n' or 'declined', not {scope!r}")
 
 
-def ranked_drivers(drivers: Column, n: int = TOP_DRIVERS, direction: bool = False) -> Column:
-    """The ``n`` strongest drivers whatever their sign, ties by feature name; with
-    ``direction`` each also says which way it moves the score. Plain struct ordering sorts."""
+_DRIVER_FIELDS = ("feature", "shap_impact", "actual_value")
+
+
+def _strongest(drivers: Column, n: int) -> Column:
+    """The ``n`` drivers of largest absolute contribution, ties by feature name. The sort key
+    is their first field, so that plain struct ordering sorts them."""
     keyed = F.transform(
         drivers,
         lambda d: F.struct(
-            (-F.abs(d["shap_impact"])).alias("order"),
-            d["feature"].alias("feature"),
-            d["shap_impact"].alias("shap_impact"),
-            d["actual_value"].alias("actual_value"),
+            (-F.abs(d["shap_impact"])).alias("order"), *(d[c].alias(c) for c in _DRIVER_FIELDS)
         ),
     )
+    return F.slice(F.sort_array(keyed), 1, n)
 
-    def shown(d: Column) -> Column:
-        fields = [d[c].alias(c) for c in ("feature", "shap_impact", "actual_value")]
-        if direction:
-            impact = d["shap_impact"]
-            way = F.when(impact > 0, "up").when(impact < 0, "down").otherwise("none")
-            fields.append(way.alias("direction"))
-        return F.struct(*fields)
 
-    return F.transform(F.slice(F.sort_array(keyed), 1, n), shown)
+def ranked_drivers(drivers: Column, n: int = TOP_DRIVERS) -> Column:
+    """The ``n`` strongest drivers, whichever way they move the score, strongest first."""
+    return F.transform(
+        _strongest(drivers, n), lambda d: F.struct(*(d[c].alias(c) for c in _DRIVER_FIELDS))
+    )
 
 
 def lookup(queue: DataFrame, contributions: DataFrame, bounded: bool = False) -> DataFrame:
@@ -79,9 +77,17 @@ def lookup(queue: DataFrame, contributions: DataFrame, bounded: bool = False) ->
 
 
 def top_drivers(contributions: DataFrame, n: int = TOP_DRIVERS) -> DataFrame:
-    """Long form: one row per transaction and driver, ranked from 1."""
-    return contributions.select("txn_id", F.posexplode(ranked_drivers(F.col("drivers"), n, direction=True))).select(
-        "txn_id", (F.col("pos") + 1).alias("rank"), "col.*"
+    """Long form: one row per transaction and driver, ranked from 1, with the direction in
+    which it moves the score."""
+    impact = F.col("shap_impact")
+    return (
+        contributions.select(
+            "txn_id", F.posexplode(_strongest(F.col("drivers"), n)).alias("pos", "d")
+        )
+        .select("txn_id", (F.col("pos") + 1).alias("rank"), *(f"d.{c}" for c in _DRIVER_FIELDS))
+        .withColumn(
+            "direction", F.when(impact > 0, "up").when(impact < 0, "down").otherwise("none")
+        )
     )
 
 
@@ -108,11 +114,10 @@ def global_importance(contributions: DataFrame, n: int = IMPORTANCE_ROWS) -> Dat
     )
 
 
-def riskiest(explained: DataFrame) -> DataFrame:
-    """The explanation with the highest score, the lowest id of equals."""
-    return explained.orderBy(
-        F.desc("predicted_risk_score"), F.asc("transaction_index")
-    ).limit(1)
+def riskiest(contributions: DataFrame, score: str = "score") -> DataFrame:
+    """The explanation of the highest score, the lowest id of equals; only that one row has
+    its drivers ranked."""
+    return explanations(top_risk(contributions, 1, score), score=score)
 
 
 def driver_table(explained: DataFrame) -> DataFrame:

@@ -372,8 +372,7 @@ def global_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def riskiest_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    explained = explain.explanations(testdata.contributions(spark, sf_dir))
-    return _flat_explanations(explain.riskiest(explained))
+    return _flat_explanations(explain.riskiest(testdata.contributions(spark, sf_dir)))
 
 
 @query

@@ -82,7 +82,7 @@ def test_explanation_documents(spark):
         "struct<transaction_index:bigint,predicted_risk_score:double,actual_is_fraud_label:int,"
         "top_risk_drivers:array<struct<feature:string,shap_impact:double,actual_value:double>>>"
     )
-    assert explain.riskiest(explained).first()["transaction_index"] == 1
+    assert explain.riskiest(documents(spark)).first()["transaction_index"] == 1
     shown = explain.driver_table(explained).filter("transaction_index = 1").orderBy("position").collect()
     assert [r["feature"] for r in shown] == ["b", "f", "a", "e", "c"]
     assert shown[0]["shap_text"] == "-0.70"
