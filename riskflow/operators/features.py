@@ -9,6 +9,7 @@ from riskflow.constants import (
     DEFAULT_SALT,
     RATIO_EPSILON,
     RECENCY_CAP_HOURS,
+    REQUIRED_COLUMNS,
     SEQUENCE_GAP_HOURS,
     TXN_TYPES,
 )
@@ -98,7 +99,7 @@ def preprocess(
     the exchange carries neither 64-character digests nor derived columns. Equal names have
     equal hashes, hence the groups are the same.
     """
-    raw = drop_leakage(require_columns(tx))
+    raw = drop_leakage(require_columns(tx, (*REQUIRED_COLUMNS, "txn_id")))
     rolled = rolling_features(raw, "nameOrig", frame, hot, hot_rows)
     return _describe(rolled, salt).select(*PROCESSED_COLUMNS)
 
@@ -111,7 +112,7 @@ def feature_table(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``preprocess`` and ``behavior_features`` in one plan with a single account exchange."""
-    raw = drop_leakage(require_columns(tx))
+    raw = drop_leakage(require_columns(tx, (*REQUIRED_COLUMNS, "txn_id")))
     windowed = account_windows(
         raw,
         "nameOrig",

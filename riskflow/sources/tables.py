@@ -14,13 +14,22 @@ from riskflow import schemas
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType = schemas.RAW, keep_corrupt: bool = False
 ) -> DataFrame:
-    """CSV with a header. A field that does not fit its type becomes null; with
-    ``keep_corrupt`` the whole line is kept in ``_corrupt_record`` for the quality report."""
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    """CSV with a header, columns in any order. Types come from ``schema`` by name; columns
+    it lacks are read as text, and a file whose header differs from the first one's fails.
+
+    A field that does not fit its type becomes null; with ``keep_corrupt`` the whole line is
+    kept in ``_corrupt_record`` for the quality report.
+    """
+    header = spark.read.option("header", True).csv(path).columns
+    declared = {f.name: f for f in schema.fields}
+    fields = [declared.get(name, T.StructField(name, T.StringType())) for name in header]
+    reader = (
+        spark.read.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
+    )
     if keep_corrupt:
-        schema = T.StructType([*schema.fields, T.StructField(schemas.CORRUPT, T.StringType())])
+        fields.append(T.StructField(schemas.CORRUPT, T.StringType()))
         reader = reader.option("columnNameOfCorruptRecord", schemas.CORRUPT)
-    return reader.schema(schema).csv(path)
+    return reader.schema(T.StructType(fields)).csv(path)
 
 
 def with_txn_id(raw: DataFrame) -> DataFrame:

@@ -123,6 +123,44 @@ def test_csv_keeps_broken_lines_for_the_report(spark, tmp_path):
     assert tables.with_txn_id(tables.read_csv(spark, str(path))).select("txn_id").distinct().count() == 2
 
 
+def test_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("amount,step,note,type\n2.5,7,x,DEBIT\n")
+    df = tables.read_csv(spark, str(tmp_path / "a.csv"))
+    assert [f.dataType.simpleString() for f in df.schema] == ["double", "bigint", "string", "string"]
+    assert df.select("step", "amount").first() == (7, 2.5)
+    with pytest.raises(ValueError, match="isFraud"):
+        from riskflow.operators.privacy import require_columns
+
+        require_columns(df)
+
+
+def test_csv_files_with_different_headers_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("step,amount\n7,2.5\n")
+    (tmp_path / "b.csv").write_text("amount,step\n2.5,7\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        tables.read_csv(spark, str(tmp_path)).collect()
+
+
+def test_audit_lines_with_offset_timestamps(spark, tmp_path):
+    line = {
+        "transaction_index": 1,
+        "risk_score": 0.5,
+        "decision": "DECLINE",
+        "llm_latency_ms": 40,
+        "guardrail_passed": True,
+        "error": None,
+        "model_version": "m",
+        "policy_version": "p",
+        "prompt_version": "v1.0",
+        "timestamp": "2025-03-04T05:06:07.123456+00:00",
+    }
+    (tmp_path / "log.jsonl").write_text(json.dumps(line) + "\n")
+    row = audit_log.read_audit(spark, str(tmp_path / "log.jsonl")).select(
+        F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"), "error", "llm_latency_ms"
+    ).first()
+    assert tuple(row) == ("2025-03-04 05:06:07.123456", None, 40)
+
+
 def test_parquet_by_day_prunes_folders(spark, small, tmp_path):
     path = str(tmp_path / "t")
     scored = testdata.scored(spark, small)
