@@ -431,7 +431,7 @@ def audit_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 def audit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = scratch_dir(spark, "audit-in"), scratch_dir(spark, "audit-table")
     audit_log.append_audit(_audit(spark, sf_dir), source)
-    arriving = audit_streaming.audit_stream(spark, f"{source}/*")
+    arriving = audit_streaming.audit_stream(spark, source)
     audit_streaming.append_stream(
         arriving, target, scratch_dir(spark, "audit-state"), "log_date"
     ).awaitTermination()

@@ -100,7 +100,7 @@ def test_stream_equals_batch_and_takes_each_row_once(spark, tmp_path):
     source, target, state = (str(tmp_path / d) for d in ("in", "out", "state"))
     for _ in range(2):
         audit_log.append_audit(audit_rows(spark), source)
-        append_stream(audit_stream(spark, f"{source}/*", 1), target, state, "log_date").awaitTermination()
+        append_stream(audit_stream(spark, source, 1), target, state, "log_date").awaitTermination()
     batch = audit_log.read_audit(spark, source)
     stored = tables.read_parquet(spark, target).select(batch.columns)
     assert stored.count() == 8
