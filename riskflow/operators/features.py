@@ -13,7 +13,6 @@ from riskflow.constants import (
     SEQUENCE_GAP_HOURS,
     TXN_TYPES,
 )
-from riskflow.functions.ids import salted_hash
 from riskflow.functions.timeparts import day_of, hour_of, is_night
 from riskflow.operators.account_windows import ROLLING, SEQUENCE, account_windows
 from riskflow.operators.privacy import drop_leakage, hash_identifiers, require_columns

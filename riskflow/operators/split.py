@@ -30,14 +30,20 @@ def time_split(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def split_sanity(df: DataFrame, label: str = "isFraud") -> DataFrame:
-    """Rows, frauds and fraud rate in percent of each split."""
+    """Rows, frauds and fraud rate in percent of each split; an empty split shows zeros."""
+    names = F.array(*(F.lit(n) for n in ("train", "val", "test")))
+    every = df.sparkSession.range(1).select(
+        F.explode(names).alias("split"), F.lit(None).alias("label"), F.lit(None).alias("row")
+    )
+    rows = add_split(df).select("split", F.col(label).alias("label"), F.lit(1).alias("row"))
+    frauds = F.coalesce(F.sum("label"), F.lit(0))
     return (
-        add_split(df)
+        rows.union(every)
         .groupBy("split")
         .agg(
-            F.count(F.lit(1)).alias("total"),
-            F.coalesce(F.sum(label), F.lit(0)).alias("frauds"),
-            F.coalesce(100 * F.try_divide(F.sum(label), F.count(F.lit(1))), F.lit(0.0)).alias(
+            F.count("row").alias("total"),
+            frauds.alias("frauds"),
+            F.coalesce(100 * F.try_divide(frauds, F.count("row")), F.lit(0.0)).alias(
                 "fraud_rate_pct"
             ),
         )

@@ -91,6 +91,8 @@ def test_split_is_total_and_disjoint(spark):
     assert named == {0: "train", 20: "train", 21: "val", 25: "val", 26: "test", 30: "test"}
     rates = {r["split"]: r["fraud_rate_pct"] for r in split.split_sanity(days).collect()}
     assert rates == {"train": 0.0, "val": 100.0, "test": 0.0}
+    nothing = split.split_sanity(days.filter("day < 21"))
+    assert {tuple(r) for r in nothing.collect()} == {("train", 2, 0, 0.0), ("val", 0, 0, 0.0), ("test", 0, 0, 0.0)}
 
 
 def test_class_balance(spark):
