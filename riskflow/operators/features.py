@@ -16,6 +16,7 @@ from riskflow.constants import (
 from riskflow.functions.timeparts import day_of, hour_of, is_night
 from riskflow.operators.account_windows import ROLLING, SEQUENCE, account_windows
 from riskflow.operators.privacy import drop_leakage, hash_identifiers, require_columns
+from riskflow.operators.quality import enforce
 from riskflow.operators.skew import HOT_ROWS, HotKeys
 
 PROCESSED_COLUMNS = (
@@ -91,8 +92,10 @@ def preprocess(
     frame: str = "rows",
     hot: HotKeys | None = None,
     hot_rows: int = HOT_ROWS,
+    strict: bool = True,
 ) -> DataFrame:
-    """Raw transactions to the processed table; ``tx`` needs a unique ``txn_id``.
+    """Raw transactions to the processed table; ``tx`` needs a unique ``txn_id``. ``strict``
+    makes the job fail on a negative amount or step or an invalid label.
 
     Windows run on the raw origin name, and hashes, time parts and type flags follow, so that
     the exchange carries neither 64-character digests nor derived columns. Equal names have
@@ -100,7 +103,8 @@ def preprocess(
     """
     raw = drop_leakage(require_columns(tx, (*REQUIRED_COLUMNS, "txn_id")))
     rolled = rolling_features(raw, "nameOrig", frame, hot, hot_rows)
-    return _describe(rolled, salt).select(*PROCESSED_COLUMNS)
+    processed = _describe(rolled, salt).select(*PROCESSED_COLUMNS)
+    return enforce(processed) if strict else processed
 
 
 def feature_table(
@@ -109,6 +113,7 @@ def feature_table(
     frame: str = "rows",
     hot: HotKeys | None = None,
     hot_rows: int = HOT_ROWS,
+    strict: bool = True,
 ) -> DataFrame:
     """``preprocess`` and ``behavior_features`` in one plan with a single account exchange."""
     raw = drop_leakage(require_columns(tx, (*REQUIRED_COLUMNS, "txn_id")))
@@ -121,7 +126,8 @@ def feature_table(
         hot=hot,
         hot_rows=hot_rows,
     ).withColumn("amount_deviation", _deviation())
-    return _finish_behavior(_describe(windowed, salt)).select(*FEATURE_COLUMNS)
+    finished = _finish_behavior(_describe(windowed, salt)).select(*FEATURE_COLUMNS)
+    return enforce(finished) if strict else finished
 
 
 def _describe(df: DataFrame, salt: str) -> DataFrame:

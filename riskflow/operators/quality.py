@@ -10,14 +10,21 @@ from riskflow import schemas
 from riskflow.constants import TXN_TYPES
 
 
-def _violations(df: DataFrame) -> dict[str, Column]:
-    amount, step = F.col("amount"), F.col("step")
-    checks = {
+def _constraints() -> dict[str, Column]:
+    """Conditions that hold for broken values; null for unknown ones."""
+    amount = F.col("amount")
+    return {
         "negative_amount": (amount < 0) | F.isnan(amount),
-        "null_amount": amount.isNull(),
         "invalid_label": ~F.col("isFraud").isin(0, 1),
-        "negative_step": step < 0,
-        "null_step": step.isNull(),
+        "negative_step": F.col("step") < 0,
+    }
+
+
+def _violations(df: DataFrame) -> dict[str, Column]:
+    checks = {
+        **_constraints(),
+        "null_amount": F.col("amount").isNull(),
+        "null_step": F.col("step").isNull(),
         "unknown_type": F.col("type").isNull() | ~F.col("type").isin(*TXN_TYPES),
         "null_origin": F.col("nameOrig").isNull(),
         "null_target": F.col("nameDest").isNull(),
@@ -46,12 +53,11 @@ def enforce(df: DataFrame) -> DataFrame:
     The test travels with the rows instead of being a job of its own. Nulls and empty input
     pass.
     """
-    checks = _violations(df)
-    broken = F.coalesce(
-        checks["negative_amount"] | checks["negative_step"], F.lit(False)
-    ) | F.coalesce(checks["invalid_label"], F.lit(False))
-    message = "Negative transaction amount or step, or invalid fraud label"
-    return df.filter(F.when(broken, F.raise_error(F.lit(message)).cast("boolean")).otherwise(True))
+    broken = F.lit(False)
+    for condition in _constraints().values():
+        broken = broken | F.coalesce(condition, F.lit(False))
+    failure = F.raise_error(F.lit("Negative transaction amount or step, or invalid fraud label"))
+    return df.filter(F.when(broken, failure.cast("boolean")).otherwise(True))
 
 
 def schema_mismatches(df: DataFrame, expected: T.StructType = schemas.RAW) -> dict[str, str]:

@@ -176,6 +176,21 @@ def test_unseen_type_has_all_zero_flags(spark):
     assert got == [0, 0, 1]
 
 
+def test_broken_values_stop_the_job_unless_told_otherwise(spark):
+    raw = [(1, 1, "DEBIT", -1.0, "C1", "M1", 0, 0), (2, 1, "DEBIT", None, "C1", "M1", 0, 0)]
+    tx = spark.createDataFrame(raw, RAW)
+    for build in (features.preprocess, features.feature_table):
+        with pytest.raises(Exception, match="Negative transaction amount"):
+            build(tx).collect()
+        assert build(tx, strict=False).count() == 2
+        assert build(tx.filter("txn_id = 2")).count() == 1
+
+
+def test_a_table_without_ids_is_refused(spark):
+    with pytest.raises(ValueError, match="txn_id"):
+        features.preprocess(spark.createDataFrame([], RAW).drop("txn_id"))
+
+
 def test_staged_and_fused_routes_agree(spark, small):
     from riskflow.plans.testdata import transactions
 
