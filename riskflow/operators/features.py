@@ -17,7 +17,7 @@ from riskflow.functions.timeparts import day_of, hour_of, is_night
 from riskflow.operators.account_windows import ROLLING, SEQUENCE, account_windows
 from riskflow.operators.privacy import drop_leakage, hash_identifiers, require_columns
 from riskflow.operators.quality import enforce
-from riskflow.operators.skew import HOT_ROWS, HotKeys
+from riskflow.operators.skew import HOT_ROWS, HotKeys, hot_keys
 
 PROCESSED_COLUMNS = (
     "txn_id",
@@ -101,10 +101,9 @@ def preprocess(
     the exchange carries neither 64-character digests nor derived columns. Equal names have
     equal hashes, hence the groups are the same.
     """
-    raw = drop_leakage(require_columns(tx, (*REQUIRED_COLUMNS, "txn_id")))
-    rolled = rolling_features(raw, "nameOrig", frame, hot, hot_rows)
-    processed = _describe(rolled, salt).select(*PROCESSED_COLUMNS)
-    return enforce(processed) if strict else processed
+    raw, hot = _checked(tx, hot, hot_rows, strict)
+    rolled = rolling_features(raw, "nameOrig", frame, hot)
+    return _describe(rolled, salt).select(*PROCESSED_COLUMNS)
 
 
 def feature_table(
@@ -116,7 +115,7 @@ def feature_table(
     strict: bool = True,
 ) -> DataFrame:
     """``preprocess`` and ``behavior_features`` in one plan with a single account exchange."""
-    raw = drop_leakage(require_columns(tx, (*REQUIRED_COLUMNS, "txn_id")))
+    raw, hot = _checked(tx, hot, hot_rows, strict)
     windowed = account_windows(
         raw,
         "nameOrig",
@@ -124,10 +123,18 @@ def feature_table(
         frame,
         is_transfer=F.col("type") == "TRANSFER",
         hot=hot,
-        hot_rows=hot_rows,
     ).withColumn("amount_deviation", _deviation())
-    finished = _finish_behavior(_describe(windowed, salt)).select(*FEATURE_COLUMNS)
-    return enforce(finished) if strict else finished
+    return _finish_behavior(_describe(windowed, salt)).select(*FEATURE_COLUMNS)
+
+
+def _checked(
+    tx: DataFrame, hot: HotKeys | None, hot_rows: int, strict: bool
+) -> tuple[DataFrame, HotKeys]:
+    """Raw columns without leakage and the hot accounts. Broken values stop the job before
+    the exchange; the search for hot accounts still reads nothing but the names."""
+    raw = drop_leakage(require_columns(tx, (*REQUIRED_COLUMNS, "txn_id")))
+    hot = hot_keys(raw, "nameOrig", hot_rows) if hot is None else hot
+    return enforce(raw) if strict else raw, hot
 
 
 def _describe(df: DataFrame, salt: str) -> DataFrame:
