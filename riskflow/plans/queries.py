@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +24,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 MODEL_TREES = 12
 MODEL_DEPTH = 5
 
+
+class ModelRun(NamedTuple):
+    trained: model.Trained
+    model_path: str
+    features: str
+    scored: str
+
+
 _QUERIES: dict[str, Query] = {}
-_MODELS: dict[tuple[str, str], tuple[model.Trained, str, str]] = {}
+_MODELS: dict[tuple[str, str], ModelRun] = {}
 
 
 def query(function: Query) -> Query:
@@ -442,29 +451,24 @@ def audit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- model ---------------------------------------------------------------------------------------------------
 
 
-def _trained(spark: SparkSession, sf_dir: str) -> tuple[model.Trained, str, str]:
-    """Model, its path and the stored feature table, once per session and scale."""
+def _run(spark: SparkSession, sf_dir: str) -> ModelRun:
+    """A model with its stored feature and score tables, once per session and scale."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
-        table, path = scratch_dir(spark, "features"), scratch_dir(spark, "model")
+        table, path, scored = (scratch_dir(spark, p) for p in ("features", "model", "scored"))
         tables.write_parquet(features.feature_table(testdata.transactions(spark, sf_dir)), table)
-        trained = model.train(
-            tables.read_parquet(spark, table), max_trees=MODEL_TREES, max_depth=MODEL_DEPTH
-        )
+        stored = tables.read_parquet(spark, table)
+        trained = model.train(stored, max_trees=MODEL_TREES, max_depth=MODEL_DEPTH)
         models.save_model(trained.model, path)
-        _MODELS[key] = (trained, path, table)
+        tables.write_parquet(model.score(trained.model, stored), scored)
+        _MODELS[key] = ModelRun(trained, path, table, scored)
     return _MODELS[key]
 
 
-def _scored_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, path, table = _trained(spark, sf_dir)
-    return model.score(models.load_model(path), tables.read_parquet(spark, table))
-
-
 @query
 def model_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trained, path, _ = _trained(spark, sf_dir)
-    nodes = shapley.tree_nodes(spark, trained.model, path)
+    run = _run(spark, sf_dir)
+    nodes = shapley.tree_nodes(spark, run.trained.model, run.model_path)
     return nodes.groupBy(F.col("treeID").alias("tree")).agg(
         F.count_if(F.col("leftChild") < 0).alias("leaves"),
         F.max("rawCount").alias("training_rows"),
@@ -473,33 +477,32 @@ def model_train(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def model_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored_by_model(spark, sf_dir).select("txn_id", "day", "isFraud", "score")
+    run = _run(spark, sf_dir)
+    scored = model.score(models.load_model(run.model_path), tables.read_parquet(spark, run.features))
+    return scored.select("txn_id", "day", "isFraud", "score")
 
 
 @query
 def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trained = _trained(spark, sf_dir)[0]
-    return model.model_metrics(trained, _scored_by_model(spark, sf_dir))
+    run = _run(spark, sf_dir)
+    return model.model_metrics(run.trained, tables.read_parquet(spark, run.scored))
 
 
 @query
 def model_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trained, path, _ = _trained(spark, sf_dir)
-    stored = scratch_dir(spark, "scored")
-    test_days = split.time_split(_scored_by_model(spark, sf_dir))[2]
-    tables.write_parquet(test_days, stored, None)  # two choices of rows read the scores
-    chosen = explain.explain_sample(tables.read_parquet(spark, stored))
-    explained = shapley.contributions(trained.model, chosen, path)
+    run = _run(spark, sf_dir)
+    test_days = split.time_split(tables.read_parquet(spark, run.scored))[2]
+    chosen = explain.explain_sample(test_days)
+    explained = shapley.contributions(run.trained.model, chosen, run.model_path)
     return explained.select("txn_id", "score", "base_value", F.inline("drivers"))
 
 
 @query
 def scoring_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trained, _, table = _trained(spark, sf_dir)
+    run = _run(spark, sf_dir)
     target = scratch_dir(spark, "inference")
-    arriving = scoring_streaming.scoring_stream(
-        spark, table, tables.read_parquet(spark, table).schema, trained.model
-    )
+    schema = tables.read_parquet(spark, run.features).schema
+    arriving = scoring_streaming.scoring_stream(spark, run.features, schema, run.trained.model)
     audit_streaming.append_stream(
         arriving, target, scratch_dir(spark, "inference-state")
     ).awaitTermination()
