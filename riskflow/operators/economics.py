@@ -64,7 +64,7 @@ def threshold_confusion(
         )
     )
     # One unlabelled row per threshold number keeps the empty ones in the result.
-    steps = scored.sparkSession.range(len(grid) + 1).select(
+    steps = scored.sparkSession.range(0, len(grid) + 1, 1, 1).select(
         F.col("id").alias("_k"), F.lit(None).alias("_label"), F.lit(None).alias("_amount")
     )
     fraud, legitimate = F.col("_label") == 1, F.col("_label") == 0

@@ -32,7 +32,7 @@ def time_split(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 def split_sanity(df: DataFrame, label: str = "isFraud") -> DataFrame:
     """Rows, frauds and fraud rate in percent of each split; an empty split shows zeros."""
     names = F.array(*(F.lit(n) for n in ("train", "val", "test")))
-    every = df.sparkSession.range(1).select(
+    every = df.sparkSession.range(0, 1, 1, 1).select(
         F.explode(names).alias("split"), F.lit(None).alias("label"), F.lit(None).alias("row")
     )
     rows = add_split(df).select("split", F.col(label).alias("label"), F.lit(1).alias("row"))
