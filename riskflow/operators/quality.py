@@ -71,16 +71,16 @@ def schema_mismatches(df: DataFrame, expected: T.StructType = schemas.RAW) -> di
 
 
 def failed_casts(df: DataFrame, expected: T.StructType = schemas.RAW) -> DataFrame:
-    """For columns read as text: how many non-null values do not fit the declared type."""
-    wrong = [n for n in schema_mismatches(df, expected)]
-    counted = df.agg(
-        *(
-            F.count_if(
-                F.col(n).isNotNull() & F.col(n).try_cast(expected[n].dataType).isNull()
-            ).alias(n)
-            for n in wrong
-        )
-    ) if wrong else df.sparkSession.range(0, 1).select()
-    lines = [F.struct(F.lit(n).alias("column_name"), F.col(n).alias("failed")) for n in wrong]
-    empty = F.lit([]).cast("array<struct<column_name:string,failed:bigint>>")
-    return counted.select(F.inline(F.array(*lines) if lines else empty))
+    """For columns read as another type, such as text: how many non-null values do not fit
+    the declared one. One pass over the table, no row when all types are right."""
+    wrong = list(schema_mismatches(df, expected))
+    if not wrong:
+        return df.sparkSession.createDataFrame([], "column_name string, failed long")
+
+    def fails(name: str) -> Column:
+        value = F.col(name)
+        return value.isNotNull() & value.try_cast(expected[name].dataType).isNull()
+
+    counted = df.agg(*(F.count_if(fails(n)).alias(n) for n in wrong))
+    lines = (F.struct(F.lit(n).alias("column_name"), F.col(n).alias("failed")) for n in wrong)
+    return counted.select(F.inline(F.array(*lines)))
