@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import common, decontamination, token_counts, toxicity
+from riskflow.llm import common, decontamination, quality, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,3 +61,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     lexicon = toxicity.fit(docs, labels)
     scored = toxicity.scores(docs, lexicon)
     return scored.select("doc_id", common.fold(F.col("doc_id"), 3, 1).alias("held_out"), "score", "predicted")
+
+
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(
+        common.read_table(spark, sf_dir, "documents"), common.read_table(spark, sf_dir, "labels")
+    )
