@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import common, decontamination, quality, token_counts, toxicity
+from riskflow.llm import common, decontamination, ngram_join, quality, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,11 @@ def all_sql() -> dict[str, str]:
     return {}
 
 
+@query
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_components(common.read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontamination.hit_report(
