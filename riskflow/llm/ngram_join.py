@@ -71,15 +71,35 @@ def needed(n: int, percent: int) -> int:
     return -(-n * percent // 100)
 
 
-def parity_bitmap(members: np.ndarray) -> list[int]:
-    """256 bits; a bit tells whether an odd number of members fall on it."""
-    bits = np.bincount((members.view(np.uint64) >> np.uint64(40)).astype(np.int64) % (64 * BITMAP_WORDS), minlength=64 * BITMAP_WORDS) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.int64).tolist()
+def parity_bitmap(members: np.ndarray) -> np.ndarray:
+    """Bits that tell whether an odd number of members fall on them: the next power of two above
+    half the members, at least 256, as int64 words. Halves fold onto each other by exclusive or,
+    which gives the bitmap of half the size."""
+    size = 64 * BITMAP_WORDS
+    while 2 * size < members.size:
+        size *= 2
+    spots = (members.view(np.uint64) >> np.uint64(24)).astype(np.int64) % size
+    odd = (np.bincount(spots, minlength=size) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
 
 
-_SET_SCHEMA = "doc_id long, k1 long, k2 long, n int, short array<long>, bits array<long>"
+def folded(bitmap: np.ndarray, words: int) -> np.ndarray:
+    while bitmap.size > words:
+        bitmap = bitmap[: bitmap.size // 2] ^ bitmap[bitmap.size // 2 :]
+    return bitmap
+
+
+_SET_SCHEMA = "doc_id long, k1 long, k2 long, n int, short array<long>, bits binary, coarse array<long>"
 _SET_TYPE = pa.schema(
-    [("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("n", pa.int32()), ("short", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))]
+    [
+        ("doc_id", pa.int64()),
+        ("k1", pa.int64()),
+        ("k2", pa.int64()),
+        ("n", pa.int32()),
+        ("short", pa.list_(pa.int64())),
+        ("bits", pa.binary()),
+        ("coarse", pa.list_(pa.int64())),
+    ]
 )
 
 
@@ -132,7 +152,7 @@ def document_sets(docs: DataFrame, width: int, percent: int, heavy: np.ndarray)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, last = HashCache(), shared.value
         for batch in batches:
-            rows: list[list] = [[], [], [], [], [], []]
+            rows: list[list] = [[] for _ in _SET_TYPE]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 members = shingles(text, width, cache)
                 n = members.size
@@ -143,16 +163,42 @@ def document_sets(docs: DataFrame, width: int, percent: int, heavy: np.ndarray)
                     short = order[: n - needed(n, percent) + 1].tolist()
                     key = xxhash.xxh3_128_digest(members.tobytes())
                     k1, k2 = np.frombuffer(key, np.int64).tolist()
-                    bits = parity_bitmap(members)
+                    bitmap = parity_bitmap(members)
+                    bits, coarse = bitmap.tobytes(), folded(bitmap, BITMAP_WORDS).tolist()
                 else:
-                    short, k1, k2, bits = [], 0, 0, [0] * BITMAP_WORDS
-                for column, value in zip(rows, (doc_id, k1, k2, n, short, bits), strict=True):
+                    short, k1, k2, bits, coarse = [], 0, 0, b"", []
+                for column, value in zip(rows, (doc_id, k1, k2, n, short, bits, coarse), strict=True):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, _SET_TYPE, strict=True)], schema=_SET_TYPE)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).where("doc_id is not null").mapInArrow(run, _SET_SCHEMA)
 
 
+def within_bounds(percent: int):
+    """Arrow function over two set sizes and bitmaps: whether the sets can reach the similarity."""
+
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for batch in batches:
+            out = []
+            for na, a, nb, b in zip(*[c.to_pylist() for c in batch], strict=True):
+                words = min(len(a), len(b)) // 8
+                x, y = (folded(np.frombuffer(v, np.uint64), words) for v in (a, b))
+                differing = int(np.bitwise_count(x ^ y).sum())
+                common = -(-(na + nb) * percent // (100 + percent))
+                out.append(100 * min(na, nb) >= percent * max(na, nb) and differing <= na + nb - 2 * common)
+            yield pa.array(out, pa.bool_())
+
+    return F.arrow_udf(run, returnType=T.BooleanType())
+
+
+def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that pass the length and bitmap bounds."""
+    left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"))
+    right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
+    both = pairs.join(left, "a").join(right, "b")
+    return both.where(within_bounds(percent)("na", "bits_a", "nb", "bits_b")).select("a", "b")
+
+
 def probe(width: int, percent: int):
     """Arrow function: whether two texts reach the similarity, by probes into the sorted set."""
 
@@ -204,28 +250,28 @@ def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     members = Window.partitionBy("k1", "k2")
     classes = some.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
     reps = some.join(classes.select("rep"), some["doc_id"] == F.col("rep"), "left_semi").dropDuplicates(["doc_id", "k1", "k2"])
-    reps = stored(reps.select("doc_id", "n", "short", "bits"), "ngram-classes")
+    reps = stored(reps.select("doc_id", "n", "short", "bits", "coarse"), "ngram-classes")
     lists = reps.select("doc_id", F.explode("short").alias("s"))
     on_list = Window.partitionBy("s")
     met = lists.withColumn("center", F.min("doc_id").over(on_list)).where("center <> doc_id")
     votes = met.groupBy("doc_id", "center").agg(F.count("*").alias("lists"))
     best = votes.groupBy("doc_id").agg(F.max(F.struct("lists", (-F.col("center")).alias("minus"))).alias("best"))
-    pairs = stored(best.select(F.col("doc_id").alias("a"), (-F.col("best.minus")).alias("b")), "ngram-candidates")
+    pairs = best.select(F.col("doc_id").alias("a"), (-F.col("best.minus")).alias("b"))
+    pairs = stored(possible(pairs, reps, percent), "ngram-candidates")
     links = stored(verified(docs, pairs, width, percent), "ngram-links")
     # Contract: follow a found link twice; incomplete contraction only means more pairs to probe.
     up = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
     far = links.alias("l").join(up, F.col("b") == F.col("u"), "left").select("a", F.coalesce("v", "b").alias("root"))
     owner = reps.join(far, reps["doc_id"] == far["a"], "left").select(
-        "doc_id", "n", "bits", "short", F.coalesce("root", "doc_id").alias("root")
+        "doc_id", "n", "short", F.coalesce("root", "doc_id").alias("root")
     )
-    spread = owner.select("doc_id", "root", "n", "bits", F.explode("short").alias("s"))
+    spread = owner.select("doc_id", "root", "n", F.explode("short").alias("s"))
     apart = spread.select("doc_id", "root", "n", "s", F.min("root").over(on_list).alias("low"), F.max("root").over(on_list).alias("high")).where("low <> high")
     apart = stored(apart.select("doc_id", "root", "n", "s"), "ngram-open")
     if apart.limit(1).count():
-        bits = reps.select("doc_id", "bits")
-        apart = apart.join(bits, "doc_id")
+        apart = apart.join(reps.select("doc_id", "coarse"), "doc_id")
         x, y = apart.alias("x"), apart.alias("y")
-        differing = sum((F.bit_count(F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i])) for i in range(BITMAP_WORDS)), F.lit(0))
+        differing = sum((F.bit_count(F.col("x.coarse")[i].bitwiseXOR(F.col("y.coarse")[i])) for i in range(BITMAP_WORDS)), F.lit(0))
         more = x.join(
             y,
             (F.col("x.s") == F.col("y.s"))
@@ -234,7 +280,8 @@ def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
             & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
             & (differing <= _allowed(F.col("x.n"), F.col("y.n"), percent)),
         )
-        more = stored(more.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct(), "ngram-candidates")
+        more = more.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
+        more = stored(possible(more, reps, percent), "ngram-candidates")
         if more.limit(1).count():
             links = links.unionByName(verified(docs, more, width, percent))
             links = stored(links, "ngram-links")
