@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import common, decontamination, ngram_join, quality, token_counts, toxicity
+from riskflow.llm import common, decontamination, mixing, ngram_join, quality, token_counts, toxicity
+
+#: Token shares of the mix: less English than there is, few poor texts.
+MIX_WEIGHTS = {"en": 0.50, "de": 0.18, "fr": 0.17, "es": 0.12, "poor": 0.03}
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,6 +57,15 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(common.read_table(spark, sf_dir, "documents"), path)
 
 
+@query
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rates, mix, _ = mixing.mixed(
+        common.read_table(spark, sf_dir, "documents"), common.read_table(spark, sf_dir, "labels"), MIX_WEIGHTS
+    )
+    shares = [F.col("posterior")[i].alias(f"p_{domain}") for i, domain in enumerate(mix.domains)]
+    return rates.select("doc_id", "tokens", *shares, "rate")
+
+
 @query
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read_table(spark, sf_dir, "documents").select("doc_id", "text")
