@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import common, decontamination, mixing, ngram_join, quality, token_counts, toxicity
+from riskflow.llm import common, decontamination, line_dedup, mixing, ngram_join, quality, token_counts, toxicity
 
 #: Token shares of the mix: less English than there is, few poor texts.
 MIX_WEIGHTS = {"en": 0.50, "de": 0.18, "fr": 0.17, "es": 0.12, "poor": 0.03}
@@ -85,3 +85,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(
         common.read_table(spark, sf_dir, "documents"), common.read_table(spark, sf_dir, "labels")
     )
+
+
+@query
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(common.read_table(spark, sf_dir, "documents"))
