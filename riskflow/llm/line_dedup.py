@@ -23,11 +23,10 @@ document.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,23 +54,31 @@ _TYPE = pa.schema(
 )
 
 
-def line_set(line: bytes, cache: HashCache) -> np.ndarray:
-    """Sorted hashes of the distinct words."""
-    words = {cache[w] for w in line.translate(LOWER).split()}
-    return np.sort(np.fromiter(words, np.uint64, len(words)))
+_MASK = (1 << 64) - 1
 
 
-def matches(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
-    if 100 * min(x.size, y.size) < percent * max(x.size, y.size):
+def line_set(line: bytes, cache: HashCache) -> set[int]:
+    """Hashes of the distinct words."""
+    return {cache[w] for w in line.translate(LOWER).split()}
+
+
+def matches(x: set[int], y: set[int], percent: int) -> bool:
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
         return False
-    common = np.intersect1d(x, y, assume_unique=True).size
-    return 100 * common >= percent * (x.size + y.size - common)
+    common = len(x & y)
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
 
+def signed(value: int) -> int:
+    value &= _MASK
+    return value - (1 << 64) if value >> 63 else value
 
-def signatures(members: np.ndarray, percent: int) -> list[int]:
-    """Hashes of the parts, for the size band of the set and, near its end, for the next one."""
-    n = members.size
-    band = max(0, int(np.searchsorted(_BANDS, n, side="right")) - 1)
+
+def signatures(members: set[int], percent: int) -> list[int]:
+    """Hashes of the parts, for the size band of the set and, near its end, for the next one. A
+    part's hash is the sum of its words' hashes, so it does not depend on their order."""
+    n = len(members)
+    band = max(0, bisect_right(_BANDS, n) - 1)
     bands = [band]
     if band + 1 < len(_BANDS) and 100 * n >= percent * _BANDS[band + 1]:
         bands.append(band + 1)
@@ -79,15 +86,22 @@ def signatures(members: np.ndarray, percent: int) -> list[int]:
     for b in bands:
         top = int(_BANDS[b + 1]) if b + 1 < len(_BANDS) else 2**30
         parts = 2 * top * (100 - percent) // (100 + percent) + 1
-        home = ((members >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(home, kind="stable")
-        dealt, data = np.searchsorted(home[order], np.arange(parts + 1)), members[order]
-        for p in range(parts):
-            value = xxhash.xxh3_64_intdigest(data[dealt[p] : dealt[p + 1]].tobytes(), seed=b * 100_003 + p)
-            out.append(value - (1 << 64) if value >> 63 else value)
+        sums = [0] * parts
+        for h in members:
+            sums[(h >> 20) % parts] += h
+        base = b * 1_000_003
+        out += [signed((total ^ (base + p)) * 0x9E3779B97F4A7C15) for p, total in enumerate(sums)]
     return out
 
 
+def parity(members: set[int]) -> tuple[int, int]:
+    """128 bits that tell whether an odd number of words fall on them."""
+    bits = 0
+    for h in members:
+        bits ^= 1 << (h >> 57)
+    return signed(bits), signed(bits >> 64)
+
+
 def line_rows(docs: DataFrame, percent: int, min_words: int) -> DataFrame:
     """A row for every line that can match."""
 
@@ -105,12 +119,10 @@ def line_rows(docs: DataFrame, percent: int, min_words: int) -> DataFrame:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for number, line in enumerate(text.split(b"\n")):
                     members = line_set(line, cache)
-                    if members.size < min_words:
+                    if len(members) < min_words:
                         continue
-                    k1, k2 = np.frombuffer(xxhash.xxh3_128_digest(members.tobytes()), np.int64).tolist()
-                    odd = (np.bincount((members >> np.uint64(50)).astype(np.int64) % 128, minlength=128) & 1).astype(np.uint8)
-                    b1, b2 = np.packbits(odd).view(np.int64).tolist()
-                    values = (doc_id, number, k1, k2, members.size, signatures(members, percent), b1, b2)
+                    k1, k2 = signed(sum(members)), signed(sum(h * (h >> 32 | 1) for h in members))
+                    values = (doc_id, number, k1, k2, len(members), signatures(members, percent), *parity(members))
                     for column, value in zip(rows, values, strict=True):
                         column.append(value)
                 if len(rows[0]) >= 20_000:

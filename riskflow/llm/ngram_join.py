@@ -42,7 +42,7 @@ from riskflow.llm.components import components
 WIDTH = 3
 PERCENT = 90
 HEAVY = 4096
-BITMAP_WORDS = 4
+BITMAP_WORDS, WIDE_WORDS, WIDE_FROM = 4, 32, 1000
 BROADCAST_ROWS = 100_000
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -73,9 +73,9 @@ def needed(n: int, percent: int) -> int:
 
 def parity_bitmap(members: np.ndarray) -> np.ndarray:
     """Bits that tell whether an odd number of members fall on them: the next power of two above
-    half the members, at least 256, as int64 words. Halves fold onto each other by exclusive or,
+    half the members, at least 256 (2048 for more than ``WIDE_FROM``), as int64 words. Halves fold onto each other by exclusive or,
     which gives the bitmap of half the size."""
-    size = 64 * BITMAP_WORDS
+    size = 64 * (WIDE_WORDS if members.size > WIDE_FROM else BITMAP_WORDS)
     while 2 * size < members.size:
         size *= 2
     spots = (members.view(np.uint64) >> np.uint64(24)).astype(np.int64) % size
@@ -89,7 +89,7 @@ def folded(bitmap: np.ndarray, words: int) -> np.ndarray:
     return bitmap
 
 
-_SET_SCHEMA = "doc_id long, k1 long, k2 long, n int, short array<long>, bits binary, coarse array<long>"
+_SET_SCHEMA = "doc_id long, k1 long, k2 long, n int, short array<long>, bits binary, coarse array<long>, wide array<long>"
 _SET_TYPE = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -99,6 +99,7 @@ _SET_TYPE = pa.schema(
         ("short", pa.list_(pa.int64())),
         ("bits", pa.binary()),
         ("coarse", pa.list_(pa.int64())),
+        ("wide", pa.list_(pa.int64())),
     ]
 )
 
@@ -165,9 +166,10 @@ def document_sets(docs: DataFrame, width: int, percent: int, heavy: np.ndarray)
                     k1, k2 = np.frombuffer(key, np.int64).tolist()
                     bitmap = parity_bitmap(members)
                     bits, coarse = bitmap.tobytes(), folded(bitmap, BITMAP_WORDS).tolist()
+                    wide = folded(bitmap, WIDE_WORDS).tolist() if n > WIDE_FROM else []
                 else:
-                    short, k1, k2, bits, coarse = [], 0, 0, b"", []
-                for column, value in zip(rows, (doc_id, k1, k2, n, short, bits, coarse), strict=True):
+                    short, k1, k2, bits, coarse, wide = [], 0, 0, b"", [], []
+                for column, value in zip(rows, (doc_id, k1, k2, n, short, bits, coarse, wide), strict=True):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, _SET_TYPE, strict=True)], schema=_SET_TYPE)
 
@@ -242,6 +244,24 @@ def _allowed(nx: Column, ny: Column, percent: int) -> Column:
     return together - 2 * F.ceil(together * percent / (100 + percent) - 1e-9)
 
 
+def _met(lists: DataFrame, words: int, percent: int, wide: bool) -> DataFrame:
+    """Pairs (a, b) of different components on a common list that pass length and bitmap bounds;
+    with ``wide`` those of two sets above WIDE_FROM, else the others."""
+    x, y = lists.alias("x"), lists.alias("y")
+    differing = sum((F.bit_count(F.col("x.map")[i].bitwiseXOR(F.col("y.map")[i])) for i in range(words)), F.lit(0))
+    both_large = F.least("x.n", "y.n") > WIDE_FROM
+    pairs = x.join(
+        y,
+        (F.col("x.s") == F.col("y.s"))
+        & (F.col("x.doc_id") > F.col("y.doc_id"))
+        & (F.col("x.root") != F.col("y.root"))
+        & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
+        & (both_large if wide else ~both_large)
+        & (differing <= _allowed(F.col("x.n"), F.col("y.n"), percent)),
+    )
+    return pairs.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+
+
 def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, class_id (smallest id with an equal set)."""
     docs = docs.select("doc_id", "text")
@@ -250,7 +270,7 @@ def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     members = Window.partitionBy("k1", "k2")
     classes = some.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
     reps = some.join(classes.select("rep"), some["doc_id"] == F.col("rep"), "left_semi").dropDuplicates(["doc_id", "k1", "k2"])
-    reps = stored(reps.select("doc_id", "n", "short", "bits", "coarse"), "ngram-classes")
+    reps = stored(reps.select("doc_id", "n", "short", "bits", "coarse", "wide"), "ngram-classes")
     lists = reps.select("doc_id", F.explode("short").alias("s"))
     on_list = Window.partitionBy("s")
     met = lists.withColumn("center", F.min("doc_id").over(on_list)).where("center <> doc_id")
@@ -269,18 +289,11 @@ def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     apart = spread.select("doc_id", "root", "n", "s", F.min("root").over(on_list).alias("low"), F.max("root").over(on_list).alias("high")).where("low <> high")
     apart = stored(apart.select("doc_id", "root", "n", "s"), "ngram-open")
     if apart.limit(1).count():
-        apart = apart.join(reps.select("doc_id", "coarse"), "doc_id")
-        x, y = apart.alias("x"), apart.alias("y")
-        differing = sum((F.bit_count(F.col("x.coarse")[i].bitwiseXOR(F.col("y.coarse")[i])) for i in range(BITMAP_WORDS)), F.lit(0))
-        more = x.join(
-            y,
-            (F.col("x.s") == F.col("y.s"))
-            & (F.col("x.doc_id") > F.col("y.doc_id"))
-            & (F.col("x.root") != F.col("y.root"))
-            & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
-            & (differing <= _allowed(F.col("x.n"), F.col("y.n"), percent)),
-        )
-        more = more.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
+        # Short sets compare small bitmaps; sets above WIDE_FROM also meet with wide ones, as small
+        # bitmaps tell nothing about them.
+        small = _met(apart.join(reps.select("doc_id", F.col("coarse").alias("map")), "doc_id"), BITMAP_WORDS, percent, False)
+        large = apart.where(F.col("n") > WIDE_FROM).join(reps.select("doc_id", F.col("wide").alias("map")), "doc_id")
+        more = small.unionByName(_met(large, WIDE_WORDS, percent, True)).distinct()
         more = stored(possible(more, reps, percent), "ngram-candidates")
         if more.limit(1).count():
             links = links.unionByName(verified(docs, more, width, percent))
