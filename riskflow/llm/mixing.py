@@ -23,6 +23,7 @@ and every rate is 1.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from typing import NamedTuple
 
 import numpy as np
@@ -51,6 +52,12 @@ class Mix(NamedTuple):
     reached: list[float]
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body uses it. (The optimizer
+    merges projections, and would repeat the value's expression at every use.)"""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def word_buckets(text: Column, buckets: int) -> Column:
     """Hash bucket of every word of a text."""
     words = F.split(F.lower(F.coalesce(text, F.lit(""))), "[\\x20\\x09-\\x0D]+")
@@ -95,21 +102,24 @@ def add_posterior(docs: DataFrame, name: str, model: Classifier) -> DataFrame:
     base = model.log_likelihood[0]
     # One table of structs against the first domain: only differences matter to the posterior.
     tables = [F.array(*[F.lit(x - y) for x, y in zip(row, base, strict=True)]) for row in model.log_likelihood[1:]]
-    words, scores = free_name(docs, "words"), free_name(docs, "scores")
-    out = docs.withColumn(words, word_buckets(F.col("text"), buckets))
-    n = F.size(words)
 
-    def summed(table: Column) -> Column:
+    def summed(words: Column, table: Column) -> Column:
         return F.aggregate(words, F.lit(0.0), lambda s, b: s + F.get(table, b))
 
-    damp = F.sqrt(F.greatest(n, F.lit(1)).cast("double"))
-    values = [F.lit(model.log_prior[0])] + [F.lit(model.log_prior[i + 1]) + summed(t) / damp for i, t in enumerate(tables)]
-    out = out.withColumn(scores, F.struct(n.cast("long").alias("tokens"), F.array(*values).alias("z")))
-    z = F.col(f"`{scores}`.z")
-    powers = F.transform(z, lambda v: F.exp(v - F.array_max(z)))
-    total = sum((powers[i] for i in range(1, k)), powers[0])
-    posterior = F.array(*[powers[i] / total for i in range(k)])
-    return out.withColumn(name, F.struct(F.col(f"`{scores}`.tokens").alias("tokens"), posterior.alias("posterior"))).drop(words, scores)
+    def scores(words: Column) -> Column:
+        damp = F.sqrt(F.greatest(F.size(words), F.lit(1)).cast("double"))
+        rest = [F.lit(model.log_prior[i + 1]) + summed(words, t) / damp for i, t in enumerate(tables)]
+        return F.array(F.lit(model.log_prior[0]), *rest)
+
+    def normal(powers: Column) -> Column:
+        total = sum((powers[i] for i in range(1, k)), powers[0])
+        return F.transform(powers, lambda v: v / total) if k > 1 else F.array(F.lit(1.0))
+
+    def result(words: Column) -> Column:
+        powers = _let(scores(words), lambda z: _let(F.array_max(z), lambda top: F.transform(z, lambda v: F.exp(v - top))))
+        return F.struct(F.size(words).cast("long").alias("tokens"), _let(powers, normal).alias("posterior"))
+
+    return docs.withColumn(name, _let(word_buckets(F.col("text"), buckets), result))
 
 
 def rate(posterior: Column, mix: Mix) -> Column:
@@ -186,4 +196,4 @@ def add_rate(docs: DataFrame, labels: DataFrame, name: str, weights: dict[str, f
     _, mix, model = mixed(docs, labels, weights)
     score = free_name(docs, "score")
     scored = add_posterior(docs, score, model)
-    return scored.withColumn(name, rate(F.col(f"`{score}`.posterior"), mix)).drop(score)
+    return scored.withColumn(name, _let(F.col(f"`{score}`.posterior"), lambda p: rate(p, mix))).drop(score)
