@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import common, decontamination, language_model, line_dedup, mixing, ngram_join, quality, token_counts, toxicity
+from riskflow.llm import common, decontamination, fingerprints, language_model, line_dedup, mixing, ngram_join, quality, suffix_dedup, token_counts, toxicity
 
 #: Token shares of the mix: less English than there is, few poor texts.
 MIX_WEIGHTS = {"en": 0.50, "de": 0.18, "fr": 0.17, "es": 0.12, "poor": 0.03}
@@ -80,6 +80,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", common.fold(F.col("doc_id"), 3, 1).alias("held_out"), "score", "predicted")
 
 
+@query
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.report(common.read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = language_model.score(
@@ -88,6 +93,11 @@ def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", common.fold(F.col("doc_id"), 7, 2))
 
 
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(common.read_table(spark, sf_dir, "documents"), with_text=False).drop("kept")
+
+
 @query
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(
