@@ -133,11 +133,16 @@ def _anchors(length: int, reach: int):
 
 
 _CUT = pa.schema(
-    [("k1", pa.int64()), ("k2", pa.int64()), ("doc_id", pa.int64()), ("first", pa.int32()), ("at", pa.int32()), ("starts", pa.int32()), ("cut", pa.binary())]
+    [("k1", pa.int64()), ("k2", pa.int64()), ("block", pa.int64()), ("doc_id", pa.int64()), ("first", pa.int32())]
+    + [("at", pa.int32()), ("starts", pa.int32()), ("cut", pa.binary())]
 )
+_CUT_DDL = "k1 long, k2 long, block long, doc_id long, first int, at int, starts int, cut binary"
+BROADCAST_IDS = 1_000_000
 
 
-def _cuts(length: int, reach: int):
+def _cuts(length: int, reach: int, with_cut: bool):
+    block = length - reach + 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[list] = [[] for _ in _CUT]
@@ -147,7 +152,10 @@ def _cuts(length: int, reach: int):
                     if anchor in wanted:
                         cut = text[first : last + length]
                         k1, k2 = np.frombuffer(xxhash.xxh3_128_digest(cut, seed=anchor - first), np.int64).tolist()
-                        for column, value in zip(rows, (k1, k2, doc_id, first, anchor - first, last - first + 1, cut), strict=True):
+                        near = xxhash.xxh3_64_intdigest(text[anchor : anchor + block])
+                        near = near - (1 << 64) if near >> 63 else near
+                        values = k1, k2, near, doc_id, first, anchor - first, last - first + 1, cut if with_cut else None
+                        for column, value in zip(rows, values, strict=True):
                             column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, _CUT, strict=True)], schema=_CUT)
 
@@ -227,25 +235,35 @@ def _keep(length: int, with_text: bool):
     return F.arrow_udf(run, returnType=_KEPT)
 
 
+def _cut_out(texts: DataFrame, wanted: DataFrame, length: int, reach: int, with_cut: bool) -> DataFrame:
+    """A row for each wanted (doc_id, anchor). Only the texts of wanted documents are shuffled if
+    their ids are few enough to be sent out."""
+    wanted = stored(wanted.groupBy(F.col("doc_id").alias("wanted_id")).agg(F.collect_set("anchor").alias("anchors")), "suffix-wanted")
+    ids = wanted.select(F.col("wanted_id").alias("sent_id"))
+    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        texts = texts.join(F.broadcast(ids), texts["doc_id"] == ids["sent_id"], "left_semi")
+    some = texts.join(wanted, texts["doc_id"] == wanted["wanted_id"]).select("doc_id", "text", "anchors")
+    return some.mapInArrow(_cuts(length, reach, with_cut), _CUT_DDL)
+
+
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, reach: int = REACH) -> DataFrame:
     """Columns doc_id, ranges (array of low, high): starts of strings that also start elsewhere."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     texts = texts.where("doc_id is not null")
     anchors = texts.mapInArrow(_anchors(length, reach), "doc_id long, anchor int, block long")
-    anchors = stored(anchors.distinct(), "suffix-anchors")
+    anchors = stored(anchors, "suffix-anchors")
     often = anchors.groupBy("block").agg(F.count("*").alias("n")).where("n > 1").select(F.col("block").alias("often"))
-    wanted = anchors.join(often, anchors["block"] == often["often"], "left_semi")
-    wanted = wanted.groupBy(F.col("doc_id").alias("wanted_id")).agg(F.collect_list("anchor").alias("anchors"))
-    some = texts.join(wanted, texts["doc_id"] == wanted["wanted_id"]).select("doc_id", "text", "anchors")
-    cuts = some.mapInArrow(
-        _cuts(length, reach), "k1 long, k2 long, doc_id long, first int, at int, starts int, cut binary"
-    )
-    cuts = stored(cuts.dropDuplicates(["doc_id", "first"]), "suffix-cuts")
-    classes = cuts.groupBy("k1", "k2").agg(
-        F.count("*").alias("members"), F.first("cut").alias("cut"), F.first("at").alias("at"), F.first("starts").alias("starts")
-    )
-    classes = classes.select("k1", "k2", "cut", "at", "starts", F.expr(f"substring(cut, at + 1, {LEAD})").alias("lead"))
-    parted = classes.repartitionByRange("lead").sortWithinPartitions("lead").select("lead", "k1", "k2", "cut", "at", "starts")
+    wanted = anchors.join(often, anchors["block"] == often["often"], "left_semi").select("doc_id", "anchor")
+    cuts = _cut_out(texts, wanted, length, reach, False).drop("cut").dropDuplicates(["doc_id", "first"])
+    cuts = stored(cuts, "suffix-cuts")
+    # Classes alone with their block have nobody to be compared with; the others send one cut each.
+    classes = cuts.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "first", "at", "block")).alias("one"))
+    crowded = classes.groupBy("one.block").agg(F.count("*").alias("n")).where("n > 1").select(F.col("block").alias("crowded"))
+    ones = classes.join(crowded, classes["one.block"] == crowded["crowded"], "left_semi")
+    ones = ones.select(F.col("one.doc_id").alias("doc_id"), (F.col("one.first") + F.col("one.at")).alias("anchor"))
+    blobs = _cut_out(texts, ones, length, reach, True).dropDuplicates(["doc_id", "first"])
+    blobs = blobs.select("k1", "k2", "cut", "at", "starts", F.expr(f"substring(cut, at + 1, {LEAD})").alias("lead"))
+    parted = blobs.repartitionByRange("lead").sortWithinPartitions("lead").select("lead", "k1", "k2", "cut", "at", "starts")
     found = parted.mapInArrow(_compare(length, length - reach + 1), "k1 long, k2 long, found array<int>")
     several = cuts.groupBy("k1", "k2").agg(F.count("*").alias("members")).where("members > 1")
     light = cuts.select("k1", "k2", "doc_id", "first", "starts")
