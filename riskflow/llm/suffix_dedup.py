@@ -132,20 +132,38 @@ def _anchors(length: int, reach: int):
     return run
 
 
+def runs_of(starts: list[int]) -> list[dict[str, int]]:
+    """Ascending starts as runs of neighbours."""
+    out: list[dict[str, int]] = []
+    for start in sorted(starts):
+        if out and start == out[-1]["high"] + 1:
+            out[-1]["high"] = start
+        else:
+            out.append({"low": start, "high": start})
+    return out
+
+
+_RUNS = pa.list_(pa.struct([("low", pa.int32()), ("high", pa.int32())]))
+_FOUND_DDL = "k1 long, k2 long, found array<struct<low:int,high:int>>"
 _CUT = pa.schema(
     [("k1", pa.int64()), ("k2", pa.int64()), ("block", pa.int64()), ("doc_id", pa.int64()), ("first", pa.int32())]
     + [("at", pa.int32()), ("starts", pa.int32()), ("cut", pa.binary())]
 )
 _CUT_DDL = "k1 long, k2 long, block long, doc_id long, first int, at int, starts int, cut binary"
 BROADCAST_IDS = 1_000_000
+#: Cuts sent on at a time; bounds what a Python worker holds.
+OUT_ROWS = 5_000
 
 
 def _cuts(length: int, reach: int, with_cut: bool):
     block = length - reach + 1
 
+    def packed(rows: list[list]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, _CUT, strict=True)], schema=_CUT)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[list] = [[] for _ in _CUT]
         for batch in batches:
-            rows: list[list] = [[] for _ in _CUT]
             for doc_id, text, anchors in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 wanted = set(anchors)
                 for anchor, first, last in starts_by_anchor(text, length, reach):
@@ -157,7 +175,10 @@ def _cuts(length: int, reach: int, with_cut: bool):
                         values = k1, k2, near, doc_id, first, anchor - first, last - first + 1, cut if with_cut else None
                         for column, value in zip(rows, values, strict=True):
                             column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, _CUT, strict=True)], schema=_CUT)
+                if len(rows[0]) >= OUT_ROWS:
+                    yield packed(rows)
+                    rows = [[] for _ in _CUT]
+        yield packed(rows)
 
     return run
 
@@ -178,11 +199,11 @@ def _compare(length: int, block: int):
                     found = repeated_starts([(cut, at, starts) for _, _, cut, at, starts in group], length)
                     for row, starts in zip(group, found, strict=True):
                         if starts:
-                            for column, value in zip(out, (row[0], row[1], sorted(starts)), strict=True):
+                            for column, value in zip(out, (row[0], row[1], runs_of(starts)), strict=True):
                                 column.append(value)
             held.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.list_(pa.int32()))], ["k1", "k2", "found"]
+                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], _RUNS)], ["k1", "k2", "found"]
             )
 
         lead = None
@@ -264,14 +285,14 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, reach: int = REACH) -
     blobs = _cut_out(texts, ones, length, reach, True).dropDuplicates(["doc_id", "first"])
     blobs = blobs.select("k1", "k2", "cut", "at", "starts", F.expr(f"substring(cut, at + 1, {LEAD})").alias("lead"))
     parted = blobs.repartitionByRange("lead").sortWithinPartitions("lead").select("lead", "k1", "k2", "cut", "at", "starts")
-    found = parted.mapInArrow(_compare(length, length - reach + 1), "k1 long, k2 long, found array<int>")
+    found = parted.mapInArrow(_compare(length, length - reach + 1), _FOUND_DDL)
     several = cuts.groupBy("k1", "k2").agg(F.count("*").alias("members")).where("members > 1")
     light = cuts.select("k1", "k2", "doc_id", "first", "starts")
     whole = light.join(several, ["k1", "k2"], "left_semi").select(
         "doc_id", F.struct(F.col("first").alias("low"), (F.col("first") + F.col("starts") - 1).alias("high")).alias("range")
     )
     single = light.join(found, ["k1", "k2"]).select("doc_id", "first", F.explode("found").alias("s"))
-    single = single.select("doc_id", F.struct((F.col("first") + F.col("s")).alias("low"), (F.col("first") + F.col("s")).alias("high")).alias("range"))
+    single = single.select("doc_id", F.struct((F.col("first") + F.col("s.low")).alias("low"), (F.col("first") + F.col("s.high")).alias("high")).alias("range"))
     return whole.unionByName(single).groupBy("doc_id").agg(F.collect_list("range").alias("ranges"))
 
 
