@@ -45,7 +45,6 @@ FEATURES_V1 = (
     "transfer_in_last_6h",
     "transfer_then_cashout_6h",
 )
-NON_MODEL_COLUMNS = ("isFraud", "account_id", "counterparty_id", "step", "day", "isFlaggedFraud")
 
 # -- boosted trees ------------------------------------------------------------------
 MAX_TREES = 300

@@ -23,7 +23,8 @@ from riskflow.constants import (
     THRESHOLDS,
 )
 
-MONEY = "decimal(18,2)"
+#: Scale of the sums; an amount that it cannot hold stops the query instead of being rounded.
+MONEY = "decimal(28,8)"
 SWEEP_COLUMNS = (
     "threshold",
     "net_profit_tx",
@@ -40,11 +41,20 @@ SWEEP_COLUMNS = (
 )
 
 
+def exact_money(amount: Column, money: str = MONEY) -> Column:
+    """``amount`` as a decimal of type ``money``; fails on a value that does not fit it, NaN
+    included. Null stays null."""
+    value = amount.try_cast(money)
+    refusal = F.concat(F.lit(f"amount does not fit {money}: "), amount.cast("string"))
+    return F.when(amount.isNull() | (value == amount), value).otherwise(F.raise_error(refusal))
+
+
 def threshold_confusion(
     scored: DataFrame,
     thresholds: Sequence[float] = THRESHOLDS,
     score: str = "score",
     label: str = "isFraud",
+    money: str = MONEY,
 ) -> DataFrame:
     """tp, fp, tn, fn of the decision ``score >= threshold``, one row per threshold, with the
     amounts of approved legitimate (``tn_amount``) and missed fraudulent (``fn_amount``) rows
@@ -60,7 +70,7 @@ def threshold_confusion(
         scored.select(
             F.coalesce(F.col(score).cast("double"), F.lit(float("nan"))).alias("_score"),
             F.col(label).alias("_label"),
-            F.col("amount").cast(MONEY).alias("_amount"),
+            exact_money(F.col("amount"), money).alias("_amount"),
         )
     )
     # One unlabelled row per threshold number keeps the empty ones in the result.
@@ -115,11 +125,12 @@ def threshold_sweep(
     avg_fraud_loss: float | None = None,
     score: str = "score",
     label: str = "isFraud",
+    money: str = MONEY,
 ) -> DataFrame:
     """The twelve published columns per threshold; both the economics of the actual amounts
     and of the proxy loss per fraud are always computed."""
     margin, cost, factor = (_number(v) for v in (margin_rate, review_cost, fraud_multiplier))
-    counts = threshold_confusion(scored, thresholds, score, label)
+    counts = threshold_confusion(scored, thresholds, score, label, money)
     tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
     loss = (
         F.coalesce(F.try_divide(F.col("fraud_amount").cast("double"), tp + fn), F.lit(0.0))
@@ -129,7 +140,7 @@ def threshold_sweep(
     penalties = fp * cost
     kept_proxy = tn * loss * factor.cast("double") * margin.cast("double")
     lost_proxy = fn * loss * factor.cast("double")
-    money = {
+    columns = {
         "net_profit_tx": F.col("tn_amount") * margin - F.col("fn_amount") - penalties,
         "net_profit_proxy": kept_proxy - lost_proxy - penalties.cast("double"),
         "revenue_kept_tx": F.col("tn_amount") * margin,
@@ -140,7 +151,7 @@ def threshold_sweep(
     }
     return counts.select(
         "threshold",
-        *(value.cast("double").alias(name) for name, value in money.items()),
+        *(value.cast("double").alias(name) for name, value in columns.items()),
         (100.0 * F.try_divide(tn + fn, tp + fp + tn + fn)).alias("approval_rate_pct"),
         _percent(tp, tp + fn).alias("fraud_caught_pct"),
         _percent(tp, tp + fp).alias("precision_pct"),
@@ -173,10 +184,12 @@ def fp_fn_curve(scored: DataFrame, thresholds: Sequence[float] = THRESHOLDS) ->
     )
 
 
-def avg_fraud_loss(scored: DataFrame, label: str = "isFraud") -> DataFrame:
+def avg_fraud_loss(
+    scored: DataFrame, label: str = "isFraud", money: str = MONEY
+) -> DataFrame:
     """Mean amount of the frauds, 0 when there are none; exact sum, one row."""
     fraud = F.col(label) == 1
-    total = F.sum(F.when(fraud, F.col("amount").cast(MONEY))).cast("double")
+    total = F.sum(F.when(fraud, exact_money(F.col("amount"), money))).cast("double")
     return scored.agg(
         F.coalesce(F.try_divide(total, F.count_if(fraud)), F.lit(0.0)).alias("avg_fraud_loss")
     )
@@ -191,10 +204,11 @@ def econ_assumptions(
     feature_set: Sequence[str] = FEATURES_V1,
     test_window: str = "day >= 26",
     label: str = "isFraud",
+    money: str = MONEY,
 ) -> DataFrame:
     """The one-row record of what a sweep assumed, with the number of rows it saw."""
     fraud = F.col(label) == 1
-    total = F.sum(F.when(fraud, F.col("amount").cast(MONEY))).cast("double")
+    total = F.sum(F.when(fraud, exact_money(F.col("amount"), money))).cast("double")
     return scored.agg(
         F.coalesce(F.try_divide(total, F.count_if(fraud)), F.lit(0.0)).alias("AVG_FRAUD_LOSS"),
         F.count(F.lit(1)).alias("num_test_transactions"),

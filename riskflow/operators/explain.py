@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 
 from riskflow.constants import BASELINE_ROWS, IMPORTANCE_ROWS, SEED, TOP_DRIVERS, TOP_RISK_ROWS
 from riskflow.functions.text import fixed
+from riskflow.operators.policy import known
 
 
 def top_risk(scored: DataFrame, n: int = TOP_RISK_ROWS, score: str = "score") -> DataFrame:
-    """The ``n`` highest scores; each task keeps its own ``n`` and no full sort takes place."""
-    return scored.orderBy(F.desc(score), F.asc("txn_id")).limit(n)
+    """The ``n`` highest scores; each task keeps its own ``n`` and no full sort takes place.
+    Unknown scores, null or NaN, come last."""
+    return scored.orderBy(known(F.col(score)).desc(), F.asc("txn_id")).limit(n)
 
 
 def baseline_sample(scored: DataFrame, n: int = BASELINE_ROWS, seed: int = SEED) -> DataFrame:
@@ -43,7 +45,7 @@ def explain_scope(
     if scope == "top_n":
         return top_risk(scored, n)
     if scope == "declined":
-        return scored.filter(F.col("score") >= float(threshold))
+        return scored.filter((F.col("score") >= float(threshold)) & known(F.col("score")).isNotNull())
     raise ValueError(f"scope must be 'top_n' or 'declined', not {scope!r}")
 
 

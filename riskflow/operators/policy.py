@@ -47,15 +47,21 @@ def freeze_policy(
     )
 
 
+def known(score: Column) -> Column:
+    """The score, null when it is NaN: Spark orders NaN above every threshold."""
+    return F.when(~F.isnan(score.cast("double")), score)
+
+
 def decide(
     score: Column, policy: Mapping[str, Any], review_band: float | None = None
 ) -> Column:
-    """Block at or above the threshold, else allow; an unknown score gives no decision.
+    """Block at or above the threshold, else allow; an unknown score, null or NaN, gives no
+    decision.
 
     With ``review_band`` the scores less than that far below the threshold go to review.
     """
     threshold, labels = float(policy["threshold"]), policy["decision_labels"]
-    decision = F.when(score.isNull(), F.lit(None).cast("string")).when(
+    decision = F.when(known(score).isNull(), F.lit(None).cast("string")).when(
         score >= threshold, F.lit(labels["block"])
     )
     if review_band:
@@ -97,7 +103,7 @@ def decision_report(
     label: str = "isFraud",
 ) -> DataFrame:
     """What an analyst sees of each row: queue label, decision, distance to the threshold."""
-    value, threshold = F.col(score), F.lit(float(policy["threshold"]))
+    value, threshold = known(F.col(score)), F.lit(float(policy["threshold"]))
     distance = F.when(
         value >= threshold, F.concat(fixed(value - threshold, 3), F.lit(" over threshold"))
     ).otherwise(F.concat(fixed(threshold - value, 3), F.lit(" under threshold")))
@@ -124,9 +130,9 @@ def inference_log(
     and policy, so a repeated run logs the same ids. Optional input columns: ``drivers`` (top
     contributing features), ``insight_generated``, ``insight_valid``."""
     model = version_of(F.lit(policy["model_artifact"]))
-    request = F.concat_ws(
-        "|", F.col("txn_id").cast("string"), model, F.lit(policy["policy_name"])
-    )
+    # A missing id keeps its place: concat_ws would skip it.
+    txn = F.coalesce(F.col("txn_id").cast("string"), F.lit(""))
+    request = F.concat_ws("|", txn, model, F.lit(policy["policy_name"]))
     has = set(scored.columns)
     top = F.col("drivers.feature") if "drivers" in has else F.lit([]).cast("array<string>")
     flags = [

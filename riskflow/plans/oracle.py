@@ -60,7 +60,7 @@ audit as (
   from scored s join checked c using (txn_id)
 )"""
 _SWEEP = f"""{_SCORED},
-test as (select *, cast(amount as decimal(18, 2)) as money from scored where day >= 26),
+test as (select *, cast(amount as decimal(28, 8)) as money from scored where day >= 26),
 loss as (
   select coalesce(cast(sum(money) as double) / count(*), 0) as avg_loss from test where isFraud = 1
 ),
@@ -217,7 +217,7 @@ def all_sql() -> dict[str, str]:
             round((count(*) - sum(isFraud)) / greatest(sum(isFraud), 1)::double, 6) as neg_per_pos
             from scored where day <= 20""",
         "avg_fraud_loss": f"""with {_SCORED} select
-            round(coalesce(cast(sum(cast(amount as decimal(18, 2))) as double) / count(*), 0), 6) + 0.0
+            round(coalesce(cast(sum(cast(amount as decimal(28, 8))) as double) / count(*), 0), 6) + 0.0
               as avg_fraud_loss
             from scored where day >= 26 and isFraud = 1""",
         "threshold_confusion": f"""with {_SCORED},
@@ -286,13 +286,13 @@ def all_sql() -> dict[str, str]:
             from scored s join tops using (txn_id)""",
         "top_risk": f"with {_SCORED} {_TOP_RISK}",
         "explain_sample": f"""with {_SCORED},
-            risky as (select txn_id, score from scored order by score desc, txn_id limit 200),
-            drawn as (select txn_id, score from scored order by md5(txn_id || '_42'), txn_id limit 2000)
+            risky as (select txn_id, score from scored where day >= 26 order by score desc, txn_id limit 200),
+            drawn as (select txn_id, score from scored where day >= 26 order by md5(txn_id || '_42'), txn_id limit 2000)
             select * from risky union select * from drawn""",
         "top_drivers": f"""with {_CONTRIB} select txn_id, cast(rank as integer) as rank, feature,
             shap_impact, actual_value,
             case when shap_impact > 0 then 'up' when shap_impact < 0 then 'down' else 'none' end as direction
-            from drivers where rank <= 3 and score >= 0.09""",
+            from drivers where rank <= 5 and score >= 0.09""",
         "explanations": f"""with {_CONTRIB}, queue as ({_TOP_RISK})
             {_EXPLAINED} from drivers where rank <= 5 and txn_id in (select txn_id from queue)""",
         "global_importance": f"""with {_CONTRIB} select feature,

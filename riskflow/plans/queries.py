@@ -20,11 +20,6 @@ from riskflow.streaming import scoring as scoring_streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Size of the model behind the model queries: the full 300 trees are a training run, not a check.
-MODEL_TREES = 12
-MODEL_DEPTH = 5
-
-
 class ModelRun(NamedTuple):
     trained: model.Trained
     model_path: str
@@ -344,7 +339,7 @@ def top_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def explain_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explain.explain_sample(testdata.scored(spark, sf_dir)).select("txn_id", "score")
+    return explain.explain_sample(_test_days(spark, sf_dir)).select("txn_id", "score")
 
 
 @query
@@ -352,7 +347,7 @@ def top_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drivers of the declined rows, all of them, by lookup in the contribution table."""
     declined = explain.explain_scope(testdata.scored(spark, sf_dir), "declined", POLICY_THRESHOLD)
     found = explain.lookup(declined, testdata.contributions(spark, sf_dir))
-    return explain.top_drivers(found, 3)
+    return explain.top_drivers(found)
 
 
 def _flat_explanations(explained: DataFrame) -> DataFrame:
@@ -456,9 +451,10 @@ def _run(spark: SparkSession, sf_dir: str) -> ModelRun:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
         table, path, scored = (scratch_dir(spark, p) for p in ("features", "model", "scored"))
+        path += "/gbt_v1"
         tables.write_parquet(features.feature_table(testdata.transactions(spark, sf_dir)), table)
         stored = tables.read_parquet(spark, table)
-        trained = model.train(stored, max_trees=MODEL_TREES, max_depth=MODEL_DEPTH)
+        trained = model.train(stored)
         models.save_model(trained.model, path)
         tables.write_parquet(model.score(trained.model, stored), scored)
         _MODELS[key] = ModelRun(trained, path, table, scored)
@@ -502,7 +498,9 @@ def scoring_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _run(spark, sf_dir)
     target = scratch_dir(spark, "inference")
     schema = tables.read_parquet(spark, run.features).schema
-    arriving = scoring_streaming.scoring_stream(spark, run.features, schema, run.trained.model)
+    arriving = scoring_streaming.scoring_stream(
+        spark, run.features, schema, run.trained.model, model_artifact=run.model_path
+    )
     audit_streaming.append_stream(
         arriving, target, scratch_dir(spark, "inference-state")
     ).awaitTermination()

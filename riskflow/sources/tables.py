@@ -58,11 +58,6 @@ def write_parquet(
     df.hint("rebalance", F.col(partition_by)).write.mode(mode).partitionBy(partition_by).parquet(path)
 
 
-def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "account_id") -> None:
-    """A table already grouped and sorted for the account windows of later stages."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key, "step", "txn_id").saveAsTable(table)
-
-
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One document per line; nested arrays and structs are kept."""
     df.write.mode(mode).option("ignoreNullFields", False).json(path)

@@ -131,3 +131,12 @@ def test_one_class_and_null_group(spark):
 def test_scores_in_one_narrow_spot_still_spread_over_ranges(spark):
     df = spark.range(20000).select((F.col("id") * 1e-12).alias("score"))
     assert len(ranking._range_edges(df, "score", 64)) > 60
+
+
+def test_money_is_not_rounded_and_misfits_stop_the_query(spark):
+    rows = spark.createDataFrame([(1.005, 1), (0.004, 1)], "amount double, isFraud int")
+    assert economics.avg_fraud_loss(rows).first()[0] == 0.5045
+    for amount in (1e-9, 1e25, float("nan")):
+        bad = spark.createDataFrame([(amount, 1)], "amount double, isFraud int")
+        with pytest.raises(Exception, match="does not fit"):
+            economics.avg_fraud_loss(bad).collect()

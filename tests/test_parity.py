@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from parity import differences, duck
+from riskflow.plans.oracle import all_sql
+from riskflow.plans.queries import all_queries
 
 WITHOUT_SQL = {
     "model_train",
@@ -20,13 +22,15 @@ def con(small):
 
 
 def test_only_model_queries_lack_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == WITHOUT_SQL
+    assert set(all_queries()) - set(all_sql()) == WITHOUT_SQL
+    assert set(all_queries()) <= set(entry.queries())
+    assert set(all_sql()) <= set(entry.oracle_sql())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(all_sql()))
 def test_query_equals_sql(spark, small, con, name):
-    assert differences(entry.queries()[name](spark, small), con, entry.oracle_sql()[name]) is None
+    assert differences(all_queries()[name](spark, small), con, all_sql()[name]) is None
 
 
 def test_entry_has_one_row_per_threshold(spark):

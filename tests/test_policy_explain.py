@@ -96,3 +96,13 @@ def test_importance_and_queue(spark):
     explained = explain.explanations(documents(spark))
     assert tuple(explain.queue_summary(explained).first()) == (2, 0.9)
     assert tuple(explain.queue_summary(explained.limit(0)).first()) == (0, 0.0)
+
+
+def test_unknown_scores_are_never_declined_nor_at_the_top(spark):
+    rows = spark.createDataFrame(
+        [(1, float("nan"), 0), (2, None, 0), (3, 0.5, 1)], "txn_id long, score double, isFraud int"
+    )
+    decided = {r["txn_id"]: r["decision"] for r in policy.apply_policy(rows).collect()}
+    assert decided == {1: None, 2: None, 3: "DECLINE"}
+    assert [r["txn_id"] for r in explain.top_risk(rows, 1).collect()] == [3]
+    assert [r["txn_id"] for r in explain.explain_scope(rows, "declined", 0.09).collect()] == [3]
