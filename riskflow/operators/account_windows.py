@@ -16,6 +16,7 @@ from pyspark.sql import window as W
 
 from riskflow.constants import ROLLING_SPAN
 from riskflow.operators.skew import HOT_ROWS, HotKeys, hot_keys
+from riskflow.session import scratch_dir
 
 ROLLING = ("txn_count_24h", "avg_amount_24h")
 SEQUENCE = ("step_gap", "last_transfer_step")
@@ -40,7 +41,8 @@ def account_windows(
     ``last_transfer_step``: hour of the latest row up to and including this one for which
     ``is_transfer`` holds.
 
-    ``hot`` takes the result of an earlier ``hot_keys`` on the same rows.
+    ``hot`` takes the result of an earlier ``hot_keys`` on the same rows. Rows of hot accounts are
+    written to the shared scratch folder once; their chunks do not exceed about ``hot_rows``.
     """
     if frame not in ("rows", "hours"):
         raise ValueError(f"frame must be 'rows' or 'hours', not {frame!r}")
@@ -50,7 +52,9 @@ def account_windows(
         return _plain(df, [account], columns, frame, row_id, transfer)
     is_hot = hot.match(F.col(account))
     usual = _plain(df.filter(~is_hot), [account], columns, frame, row_id, transfer)
-    split = _chunked(df.filter(is_hot), account, columns, frame, row_id, transfer, hot.limit)
+    split = _chunked(
+        df.filter(is_hot), account, columns, frame, row_id, transfer, min(hot.limit, hot_rows)
+    )
     return usual.unionByName(split)
 
 
@@ -110,31 +114,20 @@ def _chunked(
 
 
 def _with_chunks(df: DataFrame, account: str, row_id: str, limit: int) -> DataFrame:
-    """Add the chunk key: the account's hour, and a part of it where the hour alone has more
-    than ``limit`` rows. Parts are equal ranges of the row id, computed from exact counts and
-    bounds, so every pass over the rows gives a row the same chunk."""
-    hours = df.groupBy(F.col(account).alias("_a"), F.col("step").alias("_s")).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(row_id).alias("_lo"), F.max(row_id).alias("_hi")
-    )
-    # No more hours than total / limit can be over the limit, as for hot keys.
-    large = hours.filter(F.col("_n") > limit).select(
-        "_a",
-        "_s",
-        "_lo",
-        F.ceil(F.col("_n") / limit).alias("_parts"),
-        (_div(F.col("_hi") - F.col("_lo"), F.ceil(F.col("_n") / limit)) + 1).alias("_width"),
-    )
-    same_hour = df[account].eqNullSafe(F.col("_a")) & df["step"].eqNullSafe(F.col("_s"))
-    return (
-        df.join(F.broadcast(large), same_hour, "left")
-        .withColumn("_hour", F.col("step"))
-        .withColumn(
-            "_part",
-            F.coalesce(_div(F.col(row_id) - F.col("_lo"), F.col("_width")), F.lit(0)),
-        )
-        .withColumn("_parts", F.coalesce("_parts", F.lit(1)))
-        .drop("_a", "_s", "_lo", "_width")
+    """The rows, stored once with their chunk key: the account's hour and a part of it.
+
+    Parts are ranges of (account, hour, row id) of about half of ``limit`` rows each. Spark takes
+    their edges from a sample of the rows, so ids may lie clustered or far apart. The stored table
+    gives every later pass the same parts and spares it the source."""
+    parts = max(1, -(-2 * df.count() // limit))
+    cut = (
+        df.withColumn("_hour", F.col("step"))
+        .repartitionByRange(parts, account, "_hour", row_id)
+        .withColumn("_part", F.spark_partition_id())
     )
+    path = scratch_dir(df.sparkSession, "hot-rows")
+    cut.write.parquet(path)
+    return df.sparkSession.read.schema(cut.schema).parquet(path)
 
 
 def _with_halo(
@@ -187,39 +180,30 @@ def _with_halo(
     return windowed.filter(~F.col("_halo")).drop("_halo")
 
 
-def _div(a: Column, b: Column) -> Column:
-    """Whole-number division; ``/`` would go through doubles and lose large ids."""
-    return F.call_function("div", a, b)
-
-
 def _last_n(array: Column, n: int) -> Column:
     return F.slice(array, F.greatest(F.size(array) - (n - 1), F.lit(1)), F.lit(n))
 
 
 def _with_hour_totals(rows: DataFrame, account: str, columns: Sequence[str]) -> DataFrame:
-    """A 24-hour frame takes whole hours, so hourly totals are enough: the window runs over
-    one row per account and hour, and the result goes back to the rows chunk by chunk."""
-    hours = rows.groupBy(account, "_hour").agg(
+    """A 24-hour frame takes whole hours, so totals of the chunks are enough: the window runs over
+    one row per chunk, chunks of one hour are peers and get the same values, and the result goes
+    back to the rows chunk by chunk."""
+    chunks = rows.groupBy(account, "_hour", "_part").agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum("amount").alias("_sum"),
         F.count("amount").alias("_known"),
-        F.first("_parts").alias("_parts"),
     )
     span = W.Window.partitionBy(account).orderBy("_hour").rangeBetween(_BEFORE, 0)
-    totals = hours.select(
+    totals = chunks.select(
         F.col(account).alias("_a"),
         F.col("_hour").alias("_h"),
-        F.col("_parts"),
+        F.col("_part").alias("_p"),
         F.sum("_n").over(span).alias("txn_count_24h"),
         F.try_divide(F.sum("_sum").over(span), F.sum("_known").over(span)).alias("avg_amount_24h"),
     )
-    # Only now one copy per chunk: the window above counts each hour once.
-    per_chunk = totals.withColumn(
-        "_p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))
-    ).drop("_parts")
     same_chunk = (
         rows[account].eqNullSafe(F.col("_a"))
         & rows["_hour"].eqNullSafe(F.col("_h"))
         & (rows["_part"] == F.col("_p"))
     )
-    return rows.join(per_chunk, same_chunk, "left")
+    return rows.join(totals, same_chunk, "left")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskflow.operators import features
-from riskflow.operators.account_windows import ROLLING, SEQUENCE, account_windows
+from riskflow.operators.account_windows import ROLLING, SEQUENCE, account_windows, _with_chunks
 from riskflow.operators.skew import HotKeys, hot_keys
 
 SCHEMA = "txn_id long, account string, step long, type string, amount double"
@@ -89,6 +89,17 @@ def test_account_with_one_crowded_hour(spark, frame):
     assert_same(windows(spark, rows, frame, hot=hot), expected(rows, frame))
 
 
+def test_parts_of_a_crowded_hour_hold_their_share_whatever_the_ids(spark):
+    """One id far off, as numbering by file gives, must not gather the others in one part."""
+    rows = [("hot", 5, i if i < 9_999 else 2**40, 1.0) for i in range(10_000)]
+    df = spark.createDataFrame(rows, "account string, step long, txn_id long, amount double")
+    cut = _with_chunks(df, "account", "txn_id", 100)
+    sizes = [r["count"] for r in cut.groupBy("account", "_hour", "_part").count().collect()]
+    assert sum(sizes) == 10_000 and max(sizes) <= 100
+    spans = cut.groupBy("_part").agg(F.min("txn_id"), F.max("txn_id")).orderBy("_part").collect()
+    assert all(a[2] < b[1] for a, b in zip(spans, spans[1:]))
+
+
 def test_old_transfer_reaches_over_many_rows(spark):
     rows = [(i, "a", i // 30, "TRANSFER" if i == 0 else "DEBIT", 1.0) for i in range(300)]
     got = windows(spark, rows, "rows", hot=HotKeys(("a",), 10))
