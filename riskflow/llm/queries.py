@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import common, decontamination, fingerprints, language_model, line_dedup, mixing, ngram_join, quality, suffix_dedup, token_counts, toxicity
+from riskflow.llm import common, decontamination, fingerprints, language_model, line_dedup, mixing, ngram_join, packing
+from riskflow.llm import quality, suffix_dedup, token_counts, toxicity, whitening
 
 #: Token shares of the mix: less English than there is, few poor texts.
 MIX_WEIGHTS = {"en": 0.50, "de": 0.18, "fr": 0.17, "es": 0.12, "poor": 0.03}
@@ -108,3 +109,15 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(common.read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    packed = packing.pack(common.read_table(spark, sf_dir, "documents"), path)
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(common.read_table(spark, sf_dir, "embeddings"))
