@@ -42,7 +42,7 @@ from riskflow.llm.token_counts import byte_letters
 CONTEXT, TIERS = 1024, 4
 GROUP_TOKENS = 64 * CONTEXT
 #: Pieces in a task's pool, pieces of a batch of results, step groups dealt at a time.
-POOL, BATCH, ROUND = 4096, 4096, 8
+POOL, BATCH, ROUND = 4096, 4096, 32
 END = np.array([0], "<u4").tobytes()
 # The published pre-tokenizer pattern of byte-level BPE.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"

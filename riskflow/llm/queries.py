@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import common, decontamination, fingerprints, language_model, line_dedup, mixing, ngram_join, packing
+from riskflow.llm import common, conversation_repair, decontamination, fingerprints, language_model, line_dedup, mixing, ngram_join, packing
 from riskflow.llm import quality, suffix_dedup, token_counts, toxicity, whitening
 
 #: Token shares of the mix: less English than there is, few poor texts.
@@ -111,6 +111,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(common.read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversation_repair.damage(common.read_table(spark, sf_dir, "conversations"))
+    return conversation_repair.report(conversation_repair.repair(damaged))
+
+
 @query
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")

@@ -21,6 +21,7 @@ and null ids give repeated results. Other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -95,7 +96,7 @@ def dqds(diagonal: np.ndarray, above: np.ndarray) -> np.ndarray:
         for _ in range(200 * len(q)):
             if len(q) == 1:
                 break
-            cut = next((k for k in range(len(e) - 1, -1, -1) if e[k] <= _EPS * _EPS * (shift + min(q[k], q[k + 1]))), None)
+            cut = next((k for k in range(len(e) - 1, -1, -1) if _negligible(e[k], min(q[k], q[k + 1]), shift)), None)
             if cut is not None:
                 work.append((q[: cut + 1], e[:cut], shift))
                 q, e = q[cut + 1 :], e[cut + 1 :]
@@ -122,6 +123,12 @@ def dqds(diagonal: np.ndarray, above: np.ndarray) -> np.ndarray:
     return np.sort(np.array(found))[::-1]
 
 
+def _negligible(e: float, q: float, shift: float) -> bool:
+    """Whether a superdiagonal moves no value by more than rounding: relative to its neighbours, or
+    to what has been shifted off already, where values lie close together."""
+    return e <= _EPS * _EPS * (shift + q) or e + 2 * math.sqrt(e * q) <= _EPS * shift
+
+
 def _sweep(q: list[float], e: list[float], step: float, tiny: float) -> tuple[list[float], list[float]] | None:
     """One shifted transform, or None if a value left the positive range."""
     new_q, new_e, d = [], [], q[0] - step
@@ -137,9 +144,10 @@ def _sweep(q: list[float], e: list[float], step: float, tiny: float) -> tuple[li
     return [*new_q, max(d, tiny)], new_e
 
 
-def twisted(diagonal: np.ndarray, above: np.ndarray, value: float) -> np.ndarray:
+def twisted(diagonal: np.ndarray, above: np.ndarray, value: float, taken: list[np.ndarray]) -> np.ndarray:
     """Unit vector of B'B, B upper bidiagonal, to an eigenvalue: factorisations of B'B - value from
-    above and from below meet at the twist with the smallest pivot, and the vector is read off."""
+    above and from below meet at the twist with the smallest pivot, and the vector is read off.
+    Where vectors of close values are ``taken``, the twist keeps away from their large entries."""
     m = len(diagonal)
     scale = float(np.max(np.abs(diagonal)))
     a = np.where(np.abs(diagonal) < 1e-150 * scale, 1e-150 * scale, diagonal)
@@ -162,7 +170,9 @@ def twisted(diagonal: np.ndarray, above: np.ndarray, value: float) -> np.ndarray
             upper[k - 1] = link[k - 1] * ratio
             p = p * ratio - value
     pivot = stationary + progressive + value
-    twist = int(np.argmin(np.where(np.isfinite(pivot), np.abs(pivot), np.inf)))
+    free = 1.0 - sum((c * c for c in taken), np.zeros(m))
+    weighed = np.abs(pivot) / np.maximum(free, _EPS)
+    twist = int(np.argmin(np.where(np.isfinite(weighed), weighed, np.inf)))
     z = np.zeros(m)
     z[twist] = 1.0
     for k in range(twist - 1, -1, -1):
@@ -172,6 +182,13 @@ def twisted(diagonal: np.ndarray, above: np.ndarray, value: float) -> np.ndarray
     return z / np.linalg.norm(z)
 
 
+def _apart(z: np.ndarray, taken: list[np.ndarray]) -> np.ndarray:
+    """The part of z at right angles to unit vectors, taken off twice against rounding."""
+    for c in [*taken, *taken]:
+        z = z - (c @ z) * c
+    return z
+
+
 def directions(r: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     """The largest squared singular values of a triangular factor and their right vectors; values
     that rounding alone could have made are left out."""
@@ -183,20 +200,14 @@ def directions(r: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     columns: list[np.ndarray] = []
     rng = np.random.default_rng(0)
     for k, value in enumerate(squares):
-        z = twisted(diagonal, above, value)
         # Close values share their space: keep to the part that is not taken yet.
         near = [columns[j] for j in range(k) if squares[j] - value <= 1e-3 * squares[j]]
-        for _ in range(2):
-            for c in near:
-                z = z - (c @ z) * c
+        z = _apart(twisted(diagonal, above, value, near), near)
         if np.linalg.norm(z) < 0.1:  # equal values: inverse iteration within the rest of the space
-            z = rng.standard_normal(len(z))
-            shifted = band.T @ band - value * (1 + 4 * _EPS) * np.eye(len(z))
+            shifted = band.T @ band - value * (1 + 16 * _EPS) * np.eye(len(z))
+            z = _apart(rng.standard_normal(len(z)), near)
             for _ in range(4):
-                z = np.linalg.lstsq(shifted, z, rcond=None)[0] if np.linalg.cond(shifted) > 1 / _EPS else np.linalg.solve(shifted, z)
-                for c in [*near, *near]:
-                    z = z - (c @ z) * c
-                z = z / np.linalg.norm(z)
+                z = _apart(np.linalg.solve(shifted, z / np.linalg.norm(z)), near)
         columns.append(z / np.linalg.norm(z))
     vectors = np.array(columns).T.reshape(len(r), len(columns))
     for k in range(len(right) - 1, -1, -1):  # V = H1 H2 ..., each from column k + 1 on
