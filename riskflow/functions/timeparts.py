@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from riskflow.constants import NIGHT_HOURS, TRAIN_END_DAY, VAL_END_DAY
 
+#: 2024-01-01 in seconds: the moment of step 0 where a caller names no other.
+STEP_ORIGIN = 1_704_067_200
+
 
 def hour_of(step: Column) -> Column:
     """Hour 0..23, also for negative steps."""
@@ -22,6 +25,11 @@ def is_night(hour: Column) -> Column:
     return hour.between(*NIGHT_HOURS).cast("int")
 
 
+def moment_of(step: Column, origin: int = STEP_ORIGIN) -> Column:
+    """The hour of a step as a timestamp; ``origin`` is step 0 in seconds since 1970, UTC."""
+    return F.timestamp_seconds(step * 3600 + origin)
+
+
 def split_of(day: Column) -> Column:
     """Chronological split name; null when the day is unknown."""
     return (

@@ -102,7 +102,7 @@ def preprocess(
     equal hashes, hence the groups are the same.
     """
     raw, hot = _checked(tx, hot, hot_rows, strict)
-    rolled = rolling_features(raw, "nameOrig", frame, hot)
+    rolled = rolling_features(raw, "nameOrig", frame, hot, hot_rows)
     return _describe(rolled, salt).select(*PROCESSED_COLUMNS)
 
 
@@ -123,6 +123,7 @@ def feature_table(
         frame,
         is_transfer=F.col("type") == "TRANSFER",
         hot=hot,
+        hot_rows=hot_rows,
     ).withColumn("amount_deviation", _deviation())
     return _finish_behavior(_describe(windowed, salt)).select(*FEATURE_COLUMNS)
 

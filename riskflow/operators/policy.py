@@ -119,6 +119,15 @@ def decision_report(
     )
 
 
+def request_id(policy: Mapping[str, Any], txn: str = "txn_id") -> Column:
+    """Id of an inference, a function of transaction, model and policy: whoever repeats the
+    inference, or reports on it, finds the same one."""
+    # A missing id keeps its place: concat_ws would skip it.
+    part = F.coalesce(F.col(txn).cast("string"), F.lit(""))
+    model = version_of(F.lit(policy["model_artifact"]))
+    return F.sha2(F.concat_ws("|", part, model, F.lit(policy["policy_name"])), 256)
+
+
 def inference_log(
     scored: DataFrame,
     policy: Mapping[str, Any] = DEFAULT_POLICY,
@@ -130,9 +139,6 @@ def inference_log(
     and policy, so a repeated run logs the same ids. Optional input columns: ``drivers`` (top
     contributing features), ``insight_generated``, ``insight_valid``."""
     model = version_of(F.lit(policy["model_artifact"]))
-    # A missing id keeps its place: concat_ws would skip it.
-    txn = F.coalesce(F.col("txn_id").cast("string"), F.lit(""))
-    request = F.concat_ws("|", txn, model, F.lit(policy["policy_name"]))
     has = set(scored.columns)
     top = F.col("drivers.feature") if "drivers" in has else F.lit([]).cast("array<string>")
     flags = [
@@ -140,7 +146,7 @@ def inference_log(
         for c in ("insight_generated", "insight_valid")
     ]
     return scored.select(
-        F.sha2(request, 256).alias("request_id"),
+        request_id(policy).alias("request_id"),
         (F.current_timestamp() if logged_at is None else logged_at).alias("timestamp"),
         "txn_id",
         model.alias("model_version"),

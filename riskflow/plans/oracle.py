@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from riskflow import constants as C
+from riskflow.plans import testdata
 
 _TX = """
 tx as (
@@ -93,6 +94,14 @@ sweep as (
 )"""
 
 
+_SKEWED = """
+skew as (
+  select * replace (case when txn_id % 3 = 0 then 'C0' when txn_id % 50 > 1 then nameOrig end as nameOrig,
+                    step * 30 as step)
+  from tx
+)"""
+
+
 def _hash(column: str) -> str:
     return f"sha256({column} || '_{C.DEFAULT_SALT}')"
 
@@ -157,6 +166,137 @@ def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+def _insight_log() -> str:
+    """Results that came more than 30 seconds after their inference count for nothing."""
+    return f"""with {_CONTRIB},{_CHECKED},
+        tops as (select txn_id, string_agg(feature, ',' order by rank) as top_features
+          from drivers where rank <= 5 group by txn_id),
+        in_time as (select * from checked where latency_ms <= 30000)
+        select sha256(s.txn_id || '|{_INFERENCE_MODEL}|{C.POLICY_NAME}') as request_id,
+          1704067200 + s.step * 3600 as timestamp, s.txn_id,
+          '{_INFERENCE_MODEL}' as model_version, '{C.POLICY_NAME}' as policy_version,
+          s.score as risk_score, top_features,
+          case when score >= 0.09 then 'DECLINE' else 'APPROVE' end as recommended_action,
+          c.txn_id is not null and c.error is null as insight_generated,
+          coalesce(c.guardrail_passed, false) as insight_valid
+        from scored s join tops using (txn_id) left join in_time c using (txn_id)"""
+
+
+def _frozen() -> str:
+    """Scores by walking the nodes, and leaves with the interval each feature of their path admits.
+
+    A feature with gaps counts as one: each of its columns sends a missing value its own way."""
+    nodes = ", ".join(
+        "(" + ", ".join("null" if v is None else _text(v) if isinstance(v, str) else repr(v) for v in row) + ")"
+        for row in testdata.frozen_nodes()
+    )
+    feats = ", ".join(f"({_text(f)}, cast({f} as double))" for f in C.FEATURES_V1 if f != "amount_ratio_24h")
+    return f"""recursive {_FEATURES},
+gappy as (
+  select * replace (case when txn_id % 13 > 0 then amount_ratio_24h end as amount_ratio_24h) from featured
+),
+nodes as (
+  select tree, weight, node, replace(replace(feature, '__low', ''), '__high', '') as feature,
+         case when feature like '%__low' then -8e307::double when feature like '%__high' then 8e307::double
+              else 'infinity'::double end as gap,
+         threshold, lo, hi, prediction, cover
+  from (values {nodes}) n(tree, weight, node, feature, threshold, lo, hi, prediction, cover)
+),
+vals as (
+  select txn_id, day, f.feature, f.value
+  from gappy, lateral (values {feats}, ('amount_ratio_24h', amount_ratio_24h)) f(feature, value)
+),
+walk as (
+  select g.txn_id, n.tree, n.node, n.feature, n.threshold, n.gap, n.lo, n.hi, n.weight * n.prediction as value
+  from gappy g cross join nodes n where n.node = 0
+  union all
+  select w.txn_id, n.tree, n.node, n.feature, n.threshold, n.gap, n.lo, n.hi, n.weight * n.prediction
+  from walk w join vals v on v.txn_id = w.txn_id and v.feature = w.feature
+  join nodes n on n.tree = w.tree
+    and n.node = case when coalesce(v.value, w.gap) <= w.threshold then w.lo else w.hi end
+),
+frozen as (
+  select txn_id, any_value(day) as day, any_value(isFraud) as isFraud,
+         1 / (1 + exp(-2 * sum(value))) as score
+  from walk join gappy using (txn_id) where lo < 0 group by txn_id
+),
+paths as (
+  select tree, node, 2 * weight * prediction as value, lo as l, hi as h, feature as f, threshold as t, gap as g,
+         cover, cast([] as struct(feature varchar, low double, high double, gone boolean, share double)[]) as path
+  from nodes where node = 0
+  union all
+  select n.tree, n.node, 2 * n.weight * n.prediction, n.lo, n.hi, n.feature, n.threshold, n.gap, n.cover,
+         list_append(p.path, case when n.node = p.l
+           then row(p.f, '-infinity'::double, p.t, p.g <= p.t, n.cover / p.cover)
+           else row(p.f, p.t, 'infinity'::double, p.g > p.t, n.cover / p.cover) end)
+  from paths p join nodes n on n.tree = p.tree and n.node in (p.l, p.h)
+),
+steps as (
+  select tree, node, value, s.feature as feature, max(s.low) as low, min(s.high) as high,
+         bool_and(s.gone) as gone, product(s.share) as share
+  from (select tree, node, value, unnest(path) as s from paths where l < 0) group by 1, 2, 3, 4
+),
+leaves as (
+  select *, row_number() over (partition by tree, node order by feature) - 1 as place,
+         count(*) over (partition by tree, node) as m
+  from steps
+),
+base as (
+  select sum(value * share) as base_value from
+    (select tree, node, any_value(value) as value, product(share) as share from steps group by 1, 2)
+)"""
+
+
+_FROZEN_DRIVERS = """,
+admitted as (
+  select v.txn_id, l.*, case when v.value is null then l.gone else v.value > l.low and v.value <= l.high end as ok
+  from leaves l join vals v using (feature) where v.day >= 26
+),
+subsets as (
+  select a.txn_id, a.tree, a.node, any_value(a.value) as value, any_value(a.m) as m, s.bits,
+         product(case when (s.bits >> a.place) & 1 = 1 then (case when a.ok then 1.0 else 0.0 end) else a.share end) as worth
+  from admitted a join range(0, 16) s(bits) on s.bits < (1 << a.m) group by a.txn_id, a.tree, a.node, s.bits
+),
+shares as (
+  select a.txn_id, a.feature,
+         sum(a.value * (w.worth - o.worth) * gamma(bit_count(o.bits) + 1) * gamma(a.m - bit_count(o.bits)) / gamma(a.m + 1)) as impact
+  from admitted a
+  join subsets o on (o.txn_id, o.tree, o.node) = (a.txn_id, a.tree, a.node) and (o.bits >> a.place) & 1 = 0
+  join subsets w on (w.txn_id, w.tree, w.node) = (a.txn_id, a.tree, a.node) and w.bits = o.bits + (1 << a.place)
+  group by 1, 2
+),
+impacts as (
+  select v.txn_id, v.feature, round(coalesce(s.impact, 0), 9) + 0.0 as shap_impact
+  from vals v left join shares s using (txn_id, feature) where v.day >= 26
+)"""
+
+
+def _frozen_metrics() -> str:
+    """Ranks by counting: the area under the curve from midranks, precision from running counts."""
+    return f"""with {_frozen()},
+        ranked as (select {_SPLIT}, * from frozen),
+        by_score as (select split, score, sum(isFraud) as pos, count(*) - sum(isFraud) as neg
+          from ranked group by 1, 2),
+        running as (
+          select *, sum(pos) over up as tp, sum(neg) over up as fp,
+                 sum(pos) over (partition by split) as p, sum(neg) over (partition by split) as n
+          from by_score window up as (partition by split order by score desc)),
+        figures as (
+          select split, round(sum(neg * (tp - pos / 2.0::double)) / any_value(p * n), 9) as roc,
+                 round(sum(pos * tp / (tp + fp)::double) / any_value(p), 9) as pr, sum(pos + neg) as rows_
+          from running group by split)
+        select max(roc) filter (where split = 'val') as val_auc_roc,
+          max(pr) filter (where split = 'val') as val_auc_pr,
+          max(roc) filter (where split = 'test') as test_auc_roc,
+          max(pr) filter (where split = 'test') as test_auc_pr,
+          {len(testdata.FROZEN_TREES) - 1} as best_iteration, {C.POS_WEIGHT!r}::double as scale_pos_weight,
+          cast(max(rows_) filter (where split = 'train') as bigint) as n_train,
+          cast(max(rows_) filter (where split = 'val') as bigint) as n_val,
+          cast(max(rows_) filter (where split = 'test') as bigint) as n_test,
+          17 as feature_count
+        from figures"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "src_csv_roundtrip": f"with {_TX} select {_RAW_COLUMNS} from tx",
@@ -209,6 +349,19 @@ def all_sql() -> dict[str, str]:
             amount_ratio_24h, is_transfer, is_cash_out from featured""",
         "sequence_features": f"""with {_FEATURES} select txn_id, {_hash('nameOrig')} as account_id, step,
             transfer_in_last_6h, transfer_then_cashout_6h from featured""",
+        "rolling_features_skewed": f"""with {_TX},{_SKEWED},
+            rolled as (select txn_id, amount, count(*) over ({_ROLL}) as txn_count_24h,
+              avg(amount) over ({_ROLL}) as mean24 from skew)
+            select txn_id, txn_count_24h, round(mean24, 6) as avg_amount_24h,
+              round(amount - mean24, 6) + 0.0 as amount_deviation from rolled""",
+        "rolling_features_hours_skewed": f"""with {_TX},{_SKEWED},
+            rolled as (select txn_id, amount, count(*) over ({_HOURS}) as txn_count_24h,
+              avg(amount) over ({_HOURS}) as mean24 from skew)
+            select txn_id, txn_count_24h, round(mean24, 6) as avg_amount_24h,
+              round(amount - mean24, 6) + 0.0 as amount_deviation from rolled""",
+        "sequence_features_skewed": f"""with {_FEATURES.replace("  from tx\n", "  from skew\n").replace("rolled as", _SKEWED.strip() + ",\nrolled as", 1)}
+            select txn_id, step, time_since_last_txn_hr, transfer_in_last_6h, transfer_then_cashout_6h
+            from featured""",
         "feature_matrix": f"""with {_FEATURES} select txn_id, day, isFraud, {', '.join(C.FEATURES_V1)}
             from featured""",
         "time_split": f"with {_SCORED} select txn_id, day, {_SPLIT} from scored",
@@ -284,6 +437,21 @@ def all_sql() -> dict[str, str]:
                    else 'APPROVE' end as recommended_action,
               false as insight_generated, false as insight_valid
             from scored s join tops using (txn_id)""",
+        "inference_insights": _insight_log(),
+        "inference_insights_stream": _insight_log(),
+        "frozen_score": f"""with {_frozen()} select txn_id, day, isFraud, round(score, 9) as score from frozen""",
+        "frozen_contributions": f"""with {_frozen()}{_FROZEN_DRIVERS}
+            select txn_id, round(base_value, 9) as base_value, feature, shap_impact from impacts cross join base""",
+        "frozen_top_drivers": f"""with {_frozen()}{_FROZEN_DRIVERS},
+            ordered as (select *, cast(row_number() over (
+              partition by txn_id order by abs(shap_impact) desc, feature) as integer) as rank from impacts)
+            select txn_id, rank, feature, shap_impact,
+              case when shap_impact > 0 then 'up' when shap_impact < 0 then 'down' else 'none' end as direction
+            from ordered where rank <= 5""",
+        "frozen_importance": f"""with {_frozen()}{_FROZEN_DRIVERS}
+            select feature, round(avg(abs(shap_impact)), 9) as mean_abs_shap
+            from impacts group by feature order by 2 desc, 1 limit 20""",
+        "frozen_metrics": _frozen_metrics(),
         "top_risk": f"with {_SCORED} {_TOP_RISK}",
         "explain_sample": f"""with {_SCORED},
             risky as (select txn_id, score from scored where day >= 26 order by score desc, txn_id limit 200),

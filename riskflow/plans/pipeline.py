@@ -10,12 +10,14 @@ from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskflow import schemas
 from riskflow.constants import DEFAULT_SALT, POLICY_NAME
 from riskflow.operators import economics, explain, features, model, narrative, policy, quality
 from riskflow.operators import shapley, split
 from riskflow.sources import audit_log, models, tables
+from riskflow.streaming import scoring as scoring_streaming
 
 
 class Layout:
@@ -40,6 +42,7 @@ class Layout:
         self.explanations = f"{root}/explainability/explanations"
         self.prompts = f"{root}/prompts"
         self.audit = f"{root}/audit"
+        self.inferences = f"{root}/inferences"
 
 
 def ingest_csv(spark: SparkSession, csv_path: str, root: str) -> DataFrame:
@@ -128,3 +131,24 @@ def log_narratives(
     decided = policy.apply_policy(tables.read_parquet(spark, at.scored), chosen)
     audit_log.append_audit(narrative.audit_records(decided, checked, chosen), at.audit)
     return checked
+
+
+def log_inferences(
+    spark: SparkSession,
+    root: str,
+    chosen: Mapping[str, Any],
+    results: DataFrame,
+    wait: str = scoring_streaming.WAIT,
+    review_band: float | None = None,
+) -> DataFrame:
+    """The inference log of all days, in folders by date: score, strongest drivers, action, and
+    the flags of the generator's results (as for ``log_narratives``, with ``insight_at``)."""
+    at = Layout(root)
+    inferences = scoring_streaming.explained(
+        tables.read_parquet(spark, at.features), models.load_model(at.model), at.model
+    )
+    flags = scoring_streaming.insights(results, chosen)
+    entries = scoring_streaming.with_insights(inferences, flags, chosen, wait, review_band=review_band)
+    dated = entries.withColumn("log_date", F.to_date("timestamp"))
+    tables.write_parquet(dated, at.inferences, "log_date")
+    return tables.read_parquet(spark, at.inferences)

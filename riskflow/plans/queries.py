@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 from typing import NamedTuple
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow import schemas
-from riskflow.constants import POLICY_THRESHOLD
+from riskflow.constants import POLICY_THRESHOLD, POS_WEIGHT
+from riskflow.functions.timeparts import moment_of
 from riskflow.operators import economics, explain, features, model, narrative, policy, privacy
 from riskflow.operators import quality, ranking, shapley, split
 from riskflow.plans import testdata
 from riskflow.session import scratch_dir
 from riskflow.sources import audit_log, models, tables
 from riskflow.streaming import audit as audit_streaming
+from riskflow.streaming import once as once_streaming
 from riskflow.streaming import scoring as scoring_streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -190,6 +194,37 @@ def sequence_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Splits the large accounts of the skewed tables at any scale of the test data.
+_SKEW_ROWS = 400
+
+
+def _skewed(spark: SparkSession, sf_dir: str, frame: str) -> DataFrame:
+    tx = testdata.skewed(spark, sf_dir)
+    rolled = features.rolling_features(
+        tx.select("txn_id", "nameOrig", "step", "amount"), "nameOrig", frame, hot_rows=_SKEW_ROWS
+    )
+    return rolled.select("txn_id", "txn_count_24h", _r6("avg_amount_24h"), _r6("amount_deviation"))
+
+
+@query
+def rolling_features_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _skewed(spark, sf_dir, "rows")
+
+
+@query
+def rolling_features_hours_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _skewed(spark, sf_dir, "hours")
+
+
+@query
+def sequence_features_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recency with gaps beyond its cap, and the sequence, by the route of hot accounts."""
+    table = features.feature_table(testdata.skewed(spark, sf_dir), hot_rows=_SKEW_ROWS)
+    return table.select(
+        "txn_id", "step", "time_since_last_txn_hr", "transfer_in_last_6h", "transfer_then_cashout_6h"
+    )
+
+
 @query
 def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = features.feature_table(testdata.transactions(spark, sf_dir))
@@ -329,6 +364,68 @@ def inference_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+INSIGHT_WAIT = "30 seconds"
+_STATE_PARTITIONS = 4
+
+
+def _inferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = testdata.contributions(spark, sf_dir)
+    return rows.select(
+        "txn_id",
+        moment_of(F.col("step")).alias("timestamp"),
+        "score",
+        explain.ranked_drivers(F.col("drivers")).alias("drivers"),
+    )
+
+
+def _flat_log(entries: DataFrame) -> DataFrame:
+    return entries.withColumns(
+        {"top_features": F.array_join("top_features", ","), "timestamp": F.unix_seconds("timestamp")}
+    )
+
+
+@query
+def inference_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flags = scoring_streaming.insights(
+        testdata.insight_results(spark, sf_dir), terms=testdata.NARRATIVE_TERMS
+    )
+    return _flat_log(
+        scoring_streaming.with_insights(_inferences(spark, sf_dir), flags, wait=INSIGHT_WAIT)
+    )
+
+
+def _closed(session: SparkSession, rows: DataFrame, purpose: str, at: str, end: object) -> str:
+    """A folder of files with the rows twice over, as replayed files have them, and a heartbeat."""
+    path = scratch_dir(session, purpose)
+    rows.write.parquet(path)
+    rows.write.mode("append").parquet(path)
+    once_streaming.heartbeat(session, rows.schema, {at: end}).write.mode("append").parquet(path)
+    return path
+
+
+@query
+def inference_insights_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same log from two streams whose files arrive twice."""
+    session = once_streaming.stream_session(spark, _STATE_PARTITIONS)
+    asked = _inferences(session, sf_dir)
+    results = testdata.insight_results(session, sf_dir)
+    end = datetime(2100, 1, 1)
+    asked_path = _closed(session, asked, "inferences-in", "timestamp", end)
+    results_path = _closed(session, results, "results-in", "insight_at", end)
+    flags = scoring_streaming.insights(
+        scoring_streaming.arriving(session, results_path, results.schema),
+        terms=testdata.NARRATIVE_TERMS,
+    )
+    entries = scoring_streaming.with_insights(
+        scoring_streaming.arriving(session, asked_path, asked.schema), flags, wait=INSIGHT_WAIT
+    )
+    target = scratch_dir(spark, "inferences")
+    audit_streaming.append_stream(
+        entries, target, scratch_dir(spark, "inferences-state")
+    ).awaitTermination()
+    return _flat_log(tables.read_parquet(spark, target))
+
+
 # -- explanations ---------------------------------------------------------------------------------------
 
 
@@ -433,9 +530,12 @@ def audit_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def audit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log's files arrive twice; each record is stored once."""
     source, target = scratch_dir(spark, "audit-in"), scratch_dir(spark, "audit-table")
     audit_log.append_audit(_audit(spark, sf_dir), source)
-    arriving = audit_streaming.audit_stream(spark, source)
+    audit_log.read_audit(spark, source).write.json(f"{source}/replayed")
+    session = once_streaming.stream_session(spark, _STATE_PARTITIONS)
+    arriving = audit_streaming.audit_once(audit_streaming.audit_stream(session, source))
     audit_streaming.append_stream(
         arriving, target, scratch_dir(spark, "audit-state"), "log_date"
     ).awaitTermination()
@@ -493,15 +593,86 @@ def model_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explained.select("txn_id", "score", "base_value", F.inline("drivers"))
 
 
+def _frozen(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, str, DataFrame]:
+    """The frozen model, read from its JSON file and saved again, and the scores it gives."""
+    document, path = (scratch_dir(spark, p) for p in ("portable", "model"))
+    tables.write_json(testdata.frozen_document(spark), document)
+    models.save_model(models.read_portable(spark, document), path)
+    loaded = models.load_model(path)
+    return loaded, path, model.score(loaded, testdata.gappy_features(spark, sf_dir))
+
+
+@query
+def frozen_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = _frozen(spark, sf_dir)[2]
+    return scored.select("txn_id", "day", "isFraud", F.round("score", 9).alias("score"))
+
+
+def _frozen_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of all rows of the test days, so that the rows do not depend on a queue."""
+    loaded, path, scored = _frozen(spark, sf_dir)
+    rows = shapley.contributions(loaded, split.time_split(scored)[2], path)
+    # Contributions of different engines agree up to their last bits; ranks need more than that.
+    rounded = F.transform(
+        "drivers",
+        lambda d: F.struct(
+            d["feature"].alias("feature"),
+            (F.round(d["shap_impact"], 9) + F.lit(0.0)).alias("shap_impact"),
+            d["actual_value"].alias("actual_value"),
+        ),
+    )
+    return rows.withColumn("drivers", rounded)
+
+
+@query
+def frozen_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _frozen_contributions(spark, sf_dir)
+    return rows.select("txn_id", F.round("base_value", 9).alias("base_value"), F.inline("drivers")).drop("actual_value")
+
+
+@query
+def frozen_top_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five of seventeen drivers; many contribute nothing and tie."""
+    return explain.top_drivers(_frozen_contributions(spark, sf_dir)).drop("actual_value")
+
+
+@query
+def frozen_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = explain.global_importance(_frozen_contributions(spark, sf_dir))
+    return ranked.select("feature", F.round("mean_abs_shap", 9).alias("mean_abs_shap"))
+
+
+@query
+def frozen_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics record of the frozen model, which counts as trained elsewhere."""
+    loaded, _, scored = _frozen(spark, sf_dir)
+    trees = loaded.stages[-1].getNumTrees
+    record = model.model_metrics(model.Trained(loaded, trees - 1, POS_WEIGHT), scored)
+    ranks = ("val_auc_roc", "val_auc_pr", "test_auc_roc", "test_auc_pr")
+    return record.withColumns({c: F.round(c, 9) for c in ranks})
+
+
 @query
 def scoring_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature rows and the generator's results as two streams whose files arrive twice."""
     run = _run(spark, sf_dir)
-    target = scratch_dir(spark, "inference")
-    schema = tables.read_parquet(spark, run.features).schema
-    arriving = scoring_streaming.scoring_stream(
-        spark, run.features, schema, run.trained.model, model_artifact=run.model_path
+    session = once_streaming.stream_session(spark, _STATE_PARTITIONS)
+    rows = tables.read_parquet(session, run.features)
+    results = testdata.insight_results(session, sf_dir)
+    last_step = 24 * 365 * 50  # of the heartbeat
+    source = _closed(session, rows, "features-in", "step", last_step)
+    results_path = _closed(session, results, "results-in", "insight_at", datetime(2100, 1, 1))
+    entries = scoring_streaming.scoring_stream(
+        session,
+        source,
+        rows.schema,
+        run.trained.model,
+        model_artifact=run.model_path,
+        results=scoring_streaming.arriving(session, results_path, results.schema),
+        wait=INSIGHT_WAIT,
     )
+    target = scratch_dir(spark, "inference")
     audit_streaming.append_stream(
-        arriving, target, scratch_dir(spark, "inference-state")
+        entries, target, scratch_dir(spark, "inference-state")
     ).awaitTermination()
     return tables.read_parquet(spark, target)

@@ -9,7 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.functions.timeparts import day_of
+from riskflow.constants import FEATURES_V1
+from riskflow.functions.timeparts import day_of, moment_of
+from riskflow.operators.boosting import encoded
+from riskflow.operators.features import feature_table
+from riskflow.sources.models import PORTABLE
 
 _TYPES = {
     "view": "CASH_IN",
@@ -32,6 +36,61 @@ EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, valu
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
+# A model as an artifact from elsewhere: trees of (feature, threshold, left, right) down to leaves
+# of (prediction, cover). The ratio has gaps, so it has two columns.
+FROZEN_TREES = (
+    (1.0, ("is_transfer", 0.5,
+        ("is_cash_out", 0.5, (-0.98, 620.0), ("amount", 180.25, (-0.9, 150.0), (-0.55, 50.0))),
+        ("amount", 150.125, (-0.85, 120.0), ("time_since_last_txn_hr", 10.5, (-0.6, 40.0), (-0.25, 20.0))))),
+    (0.05, ("amount_ratio_24h__low", 1.20031,
+        ("hour", 5.5, (0.31, 90.0), ("txn_count_24h", 23.5, (-0.42, 300.0), (0.07, 310.0))),
+        ("amount_ratio_24h__high", 2.10037, ("transfer_in_last_6h", 0.5, (0.2, 110.0), (0.55, 60.0)), (0.9, 130.0)))),
+    (0.05, ("amount", 60.375,
+        ("amount", 20.625, (-0.6, 200.0), ("is_transfer", 0.5, (-0.2, 150.0), (0.35, 50.0))),
+        ("hour", 18.5, ("transfer_then_cashout_6h", 0.5, (0.1, 350.0), (0.8, 50.0)), (0.45, 200.0)))),
+    (0.05, ("amount_deviation", -12.34567, (-0.3, 380.0),
+        ("amount_ratio_24h__low", -1e300, (0.77, 70.0), ("txn_type_PAYMENT", 0.5, (0.15, 400.0), (-0.5, 150.0))))),
+)
+
+
+def frozen_nodes() -> list[tuple]:
+    """The frozen trees as rows of a portable document: tree, weight, node, feature, threshold,
+    left, right, prediction, cover; children follow their parent, the mean of theirs is its own."""
+    rows: list[tuple] = []
+
+    def add(tree: int, weight: float, part: tuple) -> tuple[int, float, float]:
+        at = sum(r[0] == tree for r in rows)
+        if len(part) == 2:
+            rows.append((tree, weight, at, None, None, -1, -1, *part))
+            return at, *part
+        rows.append((tree,))
+        place = len(rows) - 1
+        left, right = (add(tree, weight, side) for side in part[2:])
+        cover = left[2] + right[2]
+        mean = (left[1] * left[2] + right[1] * right[2]) / cover
+        rows[place] = (tree, weight, at, part[0], part[1], left[0], right[0], mean, cover)
+        return at, mean, cover
+
+    for tree, (weight, root) in enumerate(FROZEN_TREES):
+        add(tree, weight, root)
+    return rows
+
+
+def frozen_columns() -> list[str]:
+    return encoded(FEATURES_V1, ("amount_ratio_24h",))
+
+
+def frozen_document(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(frozen_columns(), frozen_nodes())], PORTABLE)
+
+
+def gappy_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table, with the ratio unknown for every 13th transaction."""
+    table = feature_table(transactions(spark, sf_dir))
+    ratio = F.when(F.col("txn_id") % 13 > 0, F.col("amount_ratio_24h"))
+    return table.withColumn("amount_ratio_24h", ratio)
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw transactions, balances included."""
     events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
@@ -58,6 +117,13 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transactions with a third of them on one account, some on none, and hours far apart:
+    gaps between the transactions of the smaller accounts exceed a week."""
+    account = F.when(F.col("txn_id") % 3 == 0, "C0").when(F.col("txn_id") % 50 > 1, F.col("nameOrig"))
+    return transactions(spark, sf_dir).withColumns({"nameOrig": account, "step": F.col("step") * 30})
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions with scores on a grid of thousandths; many equal a threshold."""
     points = F.col("txn_id") * 104729 % 600 + 390 * F.col("isFraud")
@@ -87,6 +153,16 @@ def contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(spark, sf_dir).withColumn("drivers", drivers)
 
 
+def insight_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The generator's results with the time they came, each as long after its inference as its
+    latency says; texts without a transaction are left out."""
+    asked = scored(spark, sf_dir).select("txn_id", moment_of(F.col("step")).alias("asked_at"))
+    came = F.col("asked_at") + F.make_dt_interval(secs=F.col("latency_ms") / 1000)
+    return narratives(spark, sf_dir).join(asked, "txn_id").select(
+        "txn_id", "narrative", "latency_ms", "error", came.alias("insight_at")
+    )
+
+
 def narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts, latencies and errors of an external text generator."""
     documents = spark.read.schema(DOCUMENTS).parquet(f"{sf_dir}/documents.parquet")

@@ -93,7 +93,7 @@ def test_parts_of_a_crowded_hour_hold_their_share_whatever_the_ids(spark):
     """One id far off, as numbering by file gives, must not gather the others in one part."""
     rows = [("hot", 5, i if i < 9_999 else 2**40, 1.0) for i in range(10_000)]
     df = spark.createDataFrame(rows, "account string, step long, txn_id long, amount double")
-    cut = _with_chunks(df, "account", "txn_id", 100)
+    cut, _ = _with_chunks(df, "account", "txn_id", 100)
     sizes = [r["count"] for r in cut.groupBy("account", "_hour", "_part").count().collect()]
     assert sum(sizes) == 10_000 and max(sizes) <= 100
     spans = cut.groupBy("_part").agg(F.min("txn_id"), F.max("txn_id")).orderBy("_part").collect()
@@ -106,6 +106,34 @@ def test_old_transfer_reaches_over_many_rows(spark):
     assert {v[3] for v in got.values()} == {0}
 
 
+def test_carry_over_many_levels(spark, monkeypatch):
+    """Some hundred parts, three to a group: the carry passes several levels."""
+    monkeypatch.setattr("riskflow.operators.account_windows.FAN", 3)
+    rows = random_rows(11, 700, accounts=(None, "a"), weights=(1, 5))
+    assert_same(windows(spark, rows, "rows", HotKeys((None, "a"), 12), 12), expected(rows, "rows"))
+    old = [(i, "a", i // 30, "TRANSFER" if i == 0 else "DEBIT", 1.0) for i in range(300)]
+    got = windows(spark, old, "rows", HotKeys(("a",), 10), 10)
+    assert {v[3] for v in got.values()} == {0}
+
+
+@pytest.mark.parametrize("frame", ["rows", "hours"])
+def test_both_routes_agree_to_the_last_bit(spark, frame):
+    """Amounts whose sum depends on the order in floating point."""
+    rng = random.Random(13)
+    rows = [(i, "a", rng.randrange(40), "DEBIT", rng.choice([0.1, 0.7, 1e9 + 0.3, 123456.789])) for i in range(600)]
+    plain = windows(spark, rows, frame)
+    split = windows(spark, rows, frame, HotKeys(("a",), 30), 30)
+    assert plain == split
+
+
+def test_frames_of_hours_keep_nan_and_null(spark):
+    rows = [(1, "a", 0, "DEBIT", None), (2, "a", 1, "DEBIT", 2.0), (3, "a", 2, "DEBIT", float("nan")), (4, "a", 40, "DEBIT", 4.0)]
+    for hot in (None, HotKeys(("a",), 2)):
+        got = windows(spark, rows, "hours", hot, 2 if hot else 10**9)
+        assert got[1][:2] == (1, None) and got[2][:2] == (2, 2.0) and got[4][:2] == (1, 4.0)
+        assert got[3][0] == 3 and got[3][1] != got[3][1]
+
+
 def test_windows_do_not_depend_on_partitions(spark):
     rows = random_rows(3, 400)
     results = []
