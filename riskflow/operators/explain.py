@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from riskflow.constants import BASELINE_ROWS, IMPORTANCE_ROWS, SEED, TOP_DRIVERS, TOP_RISK_ROWS
 from riskflow.functions.text import fixed
 from riskflow.operators.policy import known
+from riskflow.operators.prefilter import keep_possible
 
 
 def top_risk(scored: DataFrame, n: int = TOP_RISK_ROWS, score: str = "score") -> DataFrame:
@@ -71,11 +72,11 @@ def ranked_drivers(drivers: Column, n: int = TOP_DRIVERS) -> Column:
     )
 
 
-def lookup(queue: DataFrame, contributions: DataFrame, bounded: bool = False) -> DataFrame:
-    """Contributions of the rows of a queue. ``bounded`` says the queue was cut to a top few,
-    which are then sent to the contributions; any other queue is joined as Spark sees fit."""
+def lookup(queue: DataFrame, contributions: DataFrame) -> DataFrame:
+    """Contributions of the rows of a queue, long or short: contributions that no row of it can
+    need are dropped before the join."""
     ids = queue.select("txn_id")
-    return contributions.join(F.broadcast(ids) if bounded else ids, "txn_id")
+    return keep_possible(contributions, "txn_id", ids).join(ids, "txn_id")
 
 
 def top_drivers(contributions: DataFrame, n: int = TOP_DRIVERS) -> DataFrame:

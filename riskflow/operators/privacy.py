@@ -20,6 +20,24 @@ def require_columns(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -
     return df
 
 
+def column_report(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
+    """One line per required column: whether the table has it, its values that are not null, and
+    the table's rows; in one pass that reads the required columns only."""
+    have = [c for c in required if c in df.columns]
+    counts = df.agg(F.count(F.lit(1)).alias("rows"), *(F.count(c).alias(f"_{c}") for c in have))
+    lines = F.array(
+        *(
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.lit(c in have).alias("present"),
+                (F.col(f"_{c}") if c in have else F.lit(0).cast("long")).alias("known"),
+            )
+            for c in required
+        )
+    )
+    return counts.select(F.inline(lines), "rows")
+
+
 def drop_leakage(df: DataFrame) -> DataFrame:
     """Balances reveal the outcome of a transaction; absent ones are ignored."""
     return df.drop(*LEAKAGE_COLUMNS)

@@ -84,3 +84,41 @@ def failed_casts(df: DataFrame, expected: T.StructType = schemas.RAW) -> DataFra
     counted = df.agg(*(F.count_if(fails(n)).alias(n) for n in wrong))
     lines = (F.struct(F.lit(n).alias("column_name"), F.col(n).alias("failed")) for n in wrong)
     return counted.select(F.inline(F.array(*lines)))
+
+
+def with_misfits(text: DataFrame, expected: T.StructType = schemas.RAW) -> DataFrame:
+    """Rows of a file read as text, with its corrupt lines, as typed columns and ``misfits``: the
+    names of the fields that do not fit their declared type (these are null), ``layout`` for a
+    line with the wrong number of fields, nothing for a sound line. Only an unsound one keeps its
+    text, as one line.
+
+    A typed read marks a line as corrupt only if a column that the query happens to need does not
+    fit; here every field is looked at, whatever is selected later.
+    """
+    declared = {f.name: f.dataType for f in expected.fields}
+    fields = [c for c in text.columns if c not in ("txn_id", schemas.CORRUPT)]
+    typed = {c: F.col(c).try_cast(declared[c]).alias(c) for c in fields if c in declared}
+    broken = F.array_compact(
+        F.array(
+            *(F.when(F.col(c).isNotNull() & F.col(c).try_cast(declared[c]).isNull(), F.lit(c)) for c in typed)
+        )
+    )
+    misfits = F.when(F.col(schemas.CORRUPT).isNotNull(), F.array(F.lit("layout"))).otherwise(broken)
+    line = F.coalesce(F.col(schemas.CORRUPT), F.when(F.size(broken) > 0, F.to_csv(F.struct(*fields))))
+    return text.select(
+        *(typed.get(c, F.col(c)) for c in text.columns if c != schemas.CORRUPT),
+        line.alias(schemas.CORRUPT),
+        misfits.alias("misfits"),
+    )
+
+
+def ingest_metrics(expected: T.StructType = schemas.RAW) -> list[Column]:
+    """Counts to observe while rows with ``misfits`` pass by."""
+    return [
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(F.size("misfits") > 0).alias("quarantined"),
+        *(
+            F.count_if(F.array_contains("misfits", name)).alias(f"misfit_{name}")
+            for name in (*expected.names, "layout")
+        ),
+    ]

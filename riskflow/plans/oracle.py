@@ -297,15 +297,22 @@ def _frozen_metrics() -> str:
         from figures"""
 
 
-def all_sql() -> dict[str, str]:
-    return {
-        "src_csv_roundtrip": f"with {_TX} select {_RAW_COLUMNS} from tx",
-        "src_parquet_roundtrip": f"with {_TX} select {_RAW_COLUMNS}, {_TIME} from tx",
-        "test_window_scan": f"with {_SCORED} select txn_id, day, amount, score from scored where day >= 26",
-        "sweep_csv_roundtrip": f"with {_SWEEP} select * from sweep",
-        "explanations_json": f"with {_CONTRIB} {_EXPLAINED} from drivers where rank <= 5",
-        "stage_report": "select 'processed' as stage, count(*) as row_count, 18 as column_count from events",
-        "dq_report": f"""with {_TX},
+_DIRTY = """
+dirty as (
+  select * replace (
+    case when txn_id % 19 = 0 then -amount - 1 when txn_id % 23 = 0 then 'nan'::double
+         when txn_id % 29 = 0 then null else amount end as amount,
+    case when txn_id % 31 = 0 then 2 when txn_id % 37 = 0 then null else isFraud end as isFraud,
+    case when txn_id % 41 = 0 then -1 - step when txn_id % 43 = 0 then null else step end as step,
+    case when txn_id % 47 = 0 then 'OTHER' when txn_id % 53 = 0 then null else type end as type,
+    case when txn_id % 59 > 0 then nameOrig end as nameOrig,
+    case when txn_id % 61 > 0 then nameDest end as nameDest)
+  from tx
+)"""
+
+
+def _dq_report(views: str, source: str) -> str:
+    return f"""with {views},
             n as (select count(*) as total,
               count(*) filter (where amount < 0 or isnan(amount)) as negative_amount,
               count(*) filter (where amount is null) as null_amount,
@@ -316,9 +323,33 @@ def all_sql() -> dict[str, str]:
                 ('CASH_IN', 'CASH_OUT', 'DEBIT', 'PAYMENT', 'TRANSFER')) as unknown_type,
               count(*) filter (where nameOrig is null) as null_origin,
               count(*) filter (where nameDest is null) as null_target
-              from tx)
+              from {source})
             select check_name, violations, total as "rows" from
-              (unpivot n on columns(* exclude (total)) into name check_name value violations)""",
+              (unpivot n on columns(* exclude (total)) into name check_name value violations)"""
+
+
+def all_sql() -> dict[str, str]:
+    return {
+        "src_csv_roundtrip": f"with {_TX} select {_RAW_COLUMNS} from tx",
+        "src_parquet_roundtrip": f"with {_TX} select {_RAW_COLUMNS}, {_TIME} from tx",
+        "test_window_scan": f"with {_SCORED} select txn_id, day, amount, score from scored where day >= 26",
+        "sweep_csv_roundtrip": f"with {_SWEEP} select * from sweep",
+        "explanations_json": f"with {_CONTRIB} {_EXPLAINED} from drivers where rank <= 5",
+        "stage_report": "select 'processed' as stage, count(*) as row_count, 18 as column_count from events",
+        "dq_report": _dq_report(_TX, "tx"),
+        "column_report": f"""with {_TX} select c as column_name, c <> 'nameDest' as present,
+            case when c not in ('nameDest', 'type') then n else 0 end as known, n as "rows"
+            from (values {', '.join(f'({_text(c)})' for c in C.REQUIRED_COLUMNS)}) r(c)
+            cross join (select count(*) as n from tx)""",
+        "dq_report_dirty": _dq_report(f"{_TX},{_DIRTY}", "dirty"),
+        "type_report": f"""with {_TX} select unnest(['amount', 'step', 'isFraud']) as column_name,
+            unnest([count(*) filter (where txn_id % 17 = 0), count(*) filter (where txn_id % 13 = 0),
+              count(*) filter (where txn_id % 11 = 0)]) as failed from tx
+            union all select c, 0 from (values ('txn_id'), ('oldbalanceOrg'), ('newbalanceOrig'),
+              ('oldbalanceDest'), ('newbalanceDest'), ('isFlaggedFraud')) z(c)""",
+        "quarantine": f"""with {_TX} select txn_id, concat_ws(',', case when txn_id % 17 = 0 then 'amount' end,
+              case when txn_id % 11 = 0 then 'isFraud' end, case when txn_id % 13 = 0 then 'step' end) as misfits
+            from tx where txn_id % 17 = 0 or txn_id % 13 = 0 or txn_id % 11 = 0""",
         "split_sanity": f"""with {_SCORED} select {_SPLIT}, count(*) as total,
             cast(sum(isFraud) as bigint) as frauds,
             round(100 * sum(isFraud) / count(*)::double, 6) as fraud_rate_pct
@@ -492,6 +523,16 @@ def all_sql() -> dict[str, str]:
             latency_ms, guardrail_passed, error,
             case when error is null and not guardrail_passed then 'license' else '' end as violations
             from checked""",
+        "guardrail_terms": f"""with {_CHECKED},
+            told as (select txn_id, latency_ms, error,
+              trim(narrative || ' ' || ([{', '.join(_text(t) for t in testdata.GUARDED_TEXTS)}])[
+                txn_id % {len(testdata.GUARDED_TEXTS)} + 1], {_text(C.STRIP_CHARS)}) as body from narratives),
+            found as (select *, list_filter([{', '.join(_text(t) for t in C.FORBIDDEN_TERMS)}],
+              lambda term : error is null and contains(lower(body), term)) as terms from told)
+            select txn_id, case when error is not null then {_text(C.CONNECTION_MESSAGE)}
+                when len(terms) = 0 then body else {_text(C.GUARDRAIL_MESSAGE)} end as narrative,
+              latency_ms, error is null and len(terms) = 0 as guardrail_passed, error,
+              array_to_string(terms, ',') as violations from found""",
         "audit_records": f"with {_AUDIT} select *, true as timestamp from audit",
         "audit_stream": f"with {_AUDIT} select *, true as timestamp from audit",
         "audit_telemetry": f"""with {_AUDIT} select model_version, policy_version, prompt_version,

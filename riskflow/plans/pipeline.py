@@ -9,13 +9,15 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskflow import schemas
 from riskflow.constants import DEFAULT_SALT, POLICY_NAME
 from riskflow.operators import economics, explain, features, model, narrative, policy, quality
 from riskflow.operators import shapley, split
+from riskflow.operators.prefilter import keep_possible
 from riskflow.sources import audit_log, models, tables
 from riskflow.streaming import scoring as scoring_streaming
 
@@ -25,7 +27,10 @@ class Layout:
 
     def __init__(self, root: str):
         root = root.rstrip("/")
-        self.transactions = f"{root}/transactions"
+        self.ingested = f"{root}/ingested"
+        self.transactions = f"{self.ingested}/quarantined=false"
+        self.quarantine = f"{self.ingested}/quarantined=true"
+        self.ingest_metrics = f"{root}/reports/ingest"
         self.quality = f"{root}/reports/quality"
         self.features = f"{root}/features"
         self.split_sanity = f"{root}/reports/split_sanity"
@@ -46,13 +51,29 @@ class Layout:
 
 
 def ingest_csv(spark: SparkSession, csv_path: str, root: str) -> DataFrame:
-    """Raw CSV to a numbered transaction table, with its quality report."""
+    """Raw CSV to a numbered transaction table, with its quality report.
+
+    Lines with a field that does not fit its type go to ``Layout.quarantine``, as they are and with
+    the names of these fields; the rows that can be used go to ``Layout.transactions``. Both are
+    written, and counted for ``Layout.ingest_metrics``, in one pass over the file.
+    """
     at = Layout(root)
-    raw = tables.with_txn_id(tables.read_csv(spark, csv_path, schemas.RAW, keep_corrupt=True))
-    tables.write_parquet(raw, at.transactions, None)
-    stored = tables.read_parquet(spark, at.transactions)
-    tables.write_report_csv(quality.dq_report(stored), at.quality)
-    return stored.drop(schemas.CORRUPT)
+    text = tables.read_csv(spark, csv_path, T.StructType([]), keep_corrupt=True)
+    checked = quality.with_misfits(tables.with_txn_id(text))
+    seen = Observation("ingest")
+    counted = checked.observe(seen, *quality.ingest_metrics())
+    parted = counted.withColumn("quarantined", F.size("misfits") > 0)
+    tables.write_parquet(parted, at.ingested, "quarantined", gather=False)
+    tables.write_json(spark.createDataFrame([Row(**seen.get)]), at.ingest_metrics)
+    everything = spark.read.schema(parted.schema).parquet(at.ingested)
+    tables.write_report_csv(quality.dq_report(everything), at.quality)
+    return transactions(spark, root)
+
+
+def transactions(spark: SparkSession, root: str) -> DataFrame:
+    """The ingested rows that can be used."""
+    ingested = tables.read_parquet(spark, Layout(root).ingested)
+    return ingested.where(~F.col("quarantined")).drop(schemas.CORRUPT, "misfits", "quarantined")
 
 
 def build_features(
@@ -60,7 +81,7 @@ def build_features(
 ) -> DataFrame:
     """Checked transactions to the feature table, in folders by day."""
     at = Layout(root)
-    tx = tables.read_parquet(spark, at.transactions).drop(schemas.CORRUPT)
+    tx = transactions(spark, root)
     tables.write_parquet(features.feature_table(tx, salt, frame), at.features)
     stored = tables.read_parquet(spark, at.features)
     tables.write_report_csv(split.split_sanity(stored), at.split_sanity)
@@ -68,12 +89,14 @@ def build_features(
 
 
 def train_and_score(spark: SparkSession, root: str, **options: Any) -> model.Trained:
-    """Model, metrics record and scores of all days; ``options`` go to ``model.train``."""
+    """Model, metrics record and scores of all days, without the features, which later stages look
+    up for the few rows they explain; ``options`` go to ``model.train``."""
     at = Layout(root)
     table = tables.read_parquet(spark, at.features)
     trained = model.train(table, **options)
     models.save_model(trained.model, at.model)
-    tables.write_parquet(model.score(trained.model, table), at.scored)
+    lean = model.score(trained.model, table).select("txn_id", "day", "amount", "isFraud", "score")
+    tables.write_parquet(lean, at.scored, gather=False)
     scored = tables.read_parquet(spark, at.scored)
     tables.write_json(model.model_metrics(trained, scored), at.metrics, mode="append")
     return trained
@@ -104,17 +127,22 @@ def choose_policy(
 def explain_queue(
     spark: SparkSession, root: str, chosen: Mapping[str, Any], scope: str = "top_n"
 ) -> DataFrame:
-    """Contributions of the queue and of the random baseline, importance, explanations and
-    prompts. ``scope="declined"`` explains every declined row instead of the top few."""
+    """Contributions of the queue and of a fixed sample, the riskiest rows and a random baseline;
+    importance over the sample; explanations and prompts of the queue. ``scope="declined"``
+    explains every declined row instead of the top few, and leaves the importance as it is."""
     at = Layout(root)
     trained = models.load_model(at.model)
     test_days = split.time_split(tables.read_parquet(spark, at.scored))[2]
     queue = explain.explain_scope(test_days, scope, chosen["threshold"])
-    rows = queue.union(explain.baseline_sample(test_days)).dropDuplicates(["txn_id"])
+    sample = explain.explain_sample(test_days)
+    wanted = queue.union(sample).dropDuplicates(["txn_id"]).select("txn_id", "score")
+    features_of = split.time_split(tables.read_parquet(spark, at.features))[2]
+    rows = keep_possible(features_of, "txn_id", wanted).join(wanted, "txn_id")
     tables.write_parquet(shapley.contributions(trained, rows, at.model), at.contributions, None)
     explained = tables.read_parquet(spark, at.contributions)
-    tables.write_json(explain.global_importance(explained), at.importance)
-    found = explain.lookup(queue, explained, bounded=scope == "top_n")
+    fixed = explain.lookup(sample, explained)
+    tables.write_json(explain.global_importance(fixed), at.importance)
+    found = explain.lookup(queue, explained)
     tables.write_json(explain.explanations(found), at.explanations)
     documents = tables.read_json(spark, at.explanations, schemas.EXPLANATION)
     tables.write_json(narrative.render_prompts(documents, chosen), at.prompts)

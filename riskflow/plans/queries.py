@@ -9,6 +9,7 @@ from typing import NamedTuple
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskflow import schemas
 from riskflow.constants import POLICY_THRESHOLD, POS_WEIGHT
@@ -110,6 +111,39 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.dq_report(testdata.transactions(spark, sf_dir))
 
 
+@query
+def column_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns a table needs and has; here one is missing, and one is null throughout."""
+    tx = testdata.transactions(spark, sf_dir).drop("nameDest").withColumn("type", F.lit(None).cast("string"))
+    return privacy.column_report(tx)
+
+
+@query
+def dq_report_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.dq_report(testdata.dirty(spark, sf_dir))
+
+
+def _dirty_csv(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_dir(spark, "dirty")
+    testdata.dirty_text(spark, sf_dir).write.option("header", True).csv(path)
+    return path
+
+
+@query
+def type_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of a file, read as text, that do not fit the declared type of their column."""
+    text = tables.read_csv(spark, _dirty_csv(spark, sf_dir), T.StructType([]))
+    return quality.failed_casts(text, schemas.RAW_WITH_ID)
+
+
+@query
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a file that ingestion sets apart, and why."""
+    text = tables.read_csv(spark, _dirty_csv(spark, sf_dir), T.StructType([]), keep_corrupt=True)
+    bad = quality.with_misfits(text).where(F.size("misfits") > 0)
+    return bad.select(F.col("txn_id").cast("long").alias("txn_id"), F.array_join(F.array_sort("misfits"), ",").alias("misfits"))
+
+
 @query
 def split_sanity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.split_sanity(testdata.scored(spark, sf_dir)).withColumn(
@@ -461,7 +495,7 @@ def _flat_explanations(explained: DataFrame) -> DataFrame:
 @query
 def explanations(spark: SparkSession, sf_dir: str) -> DataFrame:
     queue = explain.top_risk(_test_days(spark, sf_dir))
-    found = explain.lookup(queue, testdata.contributions(spark, sf_dir), bounded=True)
+    found = explain.lookup(queue, testdata.contributions(spark, sf_dir))
     return _flat_explanations(explain.explanations(found))
 
 
@@ -498,6 +532,13 @@ def render_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return narrative.render_prompts(explained)
 
 
+@query
+def guardrail_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The seven terms in texts that contain them, and in texts that only come near."""
+    checked = narrative.guardrail_check(testdata.guarded_narratives(spark, sf_dir))
+    return checked.withColumn("violations", F.array_join("violations", ","))
+
+
 @query
 def guardrail_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = testdata.narratives(spark, sf_dir)

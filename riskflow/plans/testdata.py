@@ -6,13 +6,14 @@ feature contributions are formulas over them, so every derived table grows with
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.constants import FEATURES_V1
 from riskflow.functions.timeparts import day_of, moment_of
 from riskflow.operators.boosting import encoded
 from riskflow.operators.features import feature_table
+from riskflow.schemas import RAW_WITH_ID
 from riskflow.sources.models import PORTABLE
 
 _TYPES = {
@@ -163,6 +164,56 @@ def insight_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transactions with every kind of broken value in some of them."""
+    n = F.col("txn_id")
+
+    def broken(column: str, *cases: tuple[int, object]) -> Column:
+        value = None
+        for divisor, wrong in cases:
+            wrong = wrong if isinstance(wrong, Column) else F.lit(wrong)
+            value = (F if value is None else value).when(n % divisor == 0, wrong)
+        return value.otherwise(F.col(column)).alias(column)
+
+    tx = transactions(spark, sf_dir)
+    changed = {
+        "amount": broken("amount", (19, -F.col("amount") - 1), (23, float("nan")), (29, None)),
+        "isFraud": broken("isFraud", (31, 2), (37, None)),
+        "step": broken("step", (41, -1 - F.col("step")), (43, None)),
+        "type": broken("type", (47, "OTHER"), (53, None)),
+        "nameOrig": broken("nameOrig", (59, None)),
+        "nameDest": broken("nameDest", (61, None)),
+    }
+    return tx.select(*(changed.get(c, F.col(c)) for c in tx.columns))
+
+
+def dirty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transactions as text, some fields of which do not fit their type."""
+    n = F.col("txn_id")
+    tx = transactions(spark, sf_dir)
+    text = {c: F.col(c).cast("string").alias(c) for c in tx.columns}
+    text["amount"] = F.when(n % 17 == 0, "n/a").otherwise(text["amount"]).alias("amount")
+    text["step"] = F.when(n % 13 == 0, F.concat(text["step"], F.lit("h"))).otherwise(text["step"]).alias("step")
+    text["isFraud"] = F.when(n % 11 == 0, "yes").otherwise(text["isFraud"]).alias("isFraud")
+    return tx.select(*(text[c] for c in RAW_WITH_ID.names))
+
+
+#: Texts with each forbidden term, then texts that come near one.
+GUARDED_TEXTS = (
+    "Sent from another Country.", "A CROSS-BORDER payment.", "Odd merchant category here.", "Unknown Location.",
+    "The user identity is open.", "A new IP Address.", "Some device and its location.",
+    "Many countries.", "A cross border payment.", "Merchant and category.", "We locate it.",
+    "The user's identity.", "An IP, an address.", "We devise it.", "Large amounts at night.", "  ",
+)
+
+
+def guarded_narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The narratives, each followed by one of ``GUARDED_TEXTS``."""
+    ending = F.element_at(F.lit(list(GUARDED_TEXTS)), (F.col("txn_id") % len(GUARDED_TEXTS) + 1).cast("int"))
+    told = narratives(spark, sf_dir)
+    return told.withColumn("narrative", F.concat("narrative", F.lit(" "), ending))
+
+
 def narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts, latencies and errors of an external text generator."""
     documents = spark.read.schema(DOCUMENTS).parquet(f"{sf_dir}/documents.parquet")

@@ -28,7 +28,8 @@ def read_csv(
     )
     if keep_corrupt:
         fields.append(T.StructField(schemas.CORRUPT, T.StringType()))
-        reader = reader.option("columnNameOfCorruptRecord", schemas.CORRUPT)
+        # The number of fields is checked whichever columns a query needs.
+        reader = reader.option("columnNameOfCorruptRecord", schemas.CORRUPT).option("columnPruning", False)
     return reader.schema(T.StructType(fields)).csv(path)
 
 
@@ -47,14 +48,22 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_parquet(
-    df: DataFrame, path: str, partition_by: str | None = "day", mode: str = "overwrite"
+    df: DataFrame,
+    path: str,
+    partition_by: str | None = "day",
+    mode: str = "overwrite",
+    gather: bool = True,
 ) -> None:
     """Parquet, in folders of ``partition_by``. Rows of a folder are brought together first,
     or every task would add a small file to every folder; a folder too large for one task is
-    cut into several by adaptive execution."""
+    cut into several by adaptive execution. ``gather=False`` is for rows that come in the order
+    of the folders already, or have few of them."""
     if partition_by is None:
         df.write.mode(mode).parquet(path)
         return
+    if not gather:
+        df.write.mode(mode).partitionBy(partition_by).parquet(path)
+        return
     df.hint("rebalance", F.col(partition_by)).write.mode(mode).partitionBy(partition_by).parquet(path)
 
 

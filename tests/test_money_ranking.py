@@ -130,7 +130,34 @@ def test_one_class_and_null_group(spark):
 
 def test_scores_in_one_narrow_spot_still_spread_over_ranges(spark):
     df = spark.range(20000).select((F.col("id") * 1e-12).alias("score"))
-    assert len(ranking._range_edges(df, "score", 64)) > 60
+    ranged = ranking.ranged_counts(df.withColumn("isFraud", F.lit(0)), [], "score", "isFraud", 64)
+    sizes = [r["count"] for r in ranged.groupBy("_range").count().collect()]
+    assert len(sizes) > 60 and sum(sizes) == 20000 and max(sizes) < 1000
+    edges = ranged.groupBy("_range").agg(F.min("_score"), F.max("_score")).orderBy("_range").collect()
+    assert all(a[2] < b[1] for a, b in zip(edges, edges[1:]))
+
+
+def test_rows_are_read_once(spark, tmp_path):
+    """Counting, cutting into ranges and ranking take one pass over the rows."""
+    path = str(tmp_path / "scored")
+    spark.range(5000).select((F.col("id") % 700 / 700).alias("score"), (F.col("id") % 3 == 0).cast("int").alias("isFraud")).write.parquet(path)
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.read.parquet(path).mapInArrow(look, "score double, isFraud int")
+    assert ranking.ranking_metrics(rows, by=()).first()["pos"] == 1667
+    assert seen.value == 5000
+
+
+def test_an_unknown_score_is_refused_when_ranked(spark):
+    for score in (None, float("nan")):
+        rows = spark.createDataFrame([(score, 1), (0.5, 0)], "score double, isFraud int")
+        with pytest.raises(Exception, match="null or NaN"):
+            ranking.ranking_metrics(rows, by=()).collect()
 
 
 def test_money_is_not_rounded_and_misfits_stop_the_query(spark):

@@ -3,6 +3,7 @@ import hashlib
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskflow import schemas
 from riskflow.operators import privacy, quality, split
@@ -110,3 +111,62 @@ def test_raw_schema_covers_required_columns():
     from riskflow.constants import LEAKAGE_COLUMNS, REQUIRED_COLUMNS
 
     assert set(schemas.RAW.names) == set(REQUIRED_COLUMNS) | set(LEAKAGE_COLUMNS)
+
+
+def test_misfits_are_named_and_counted_while_rows_pass(spark, tmp_path):
+    from pyspark.sql import Observation
+
+    from riskflow.sources import tables
+
+    path = str(tmp_path / "raw.csv")
+    head = ",".join(schemas.RAW.names)
+    lines = [
+        "1,PAYMENT,10.5,C1,1,1,M1,0,0,0,0",
+        "x,PAYMENT,ten,C1,1,1,M1,0,0,0,0",
+        "2,DEBIT,3,C2,1,1,M2,0,0,maybe,0",
+        "3,DEBIT,3,C2,1,1,M2,0,0,1,0,9,9",
+        ",,,,,,,,,,",
+    ]
+    (tmp_path / "raw.csv").write_text("\n".join([head, *lines]))
+    raw = quality.with_misfits(tables.read_csv(spark, path, T.StructType([]), keep_corrupt=True))
+    assert [(f.name, f.dataType) for f in raw.schema.fields][:-2] == [(f.name, f.dataType) for f in schemas.RAW.fields]
+    seen = Observation("ingest")
+    rows = raw.observe(seen, *quality.ingest_metrics()).collect()
+    assert [sorted(r.misfits) for r in rows] == [[], ["amount", "step"], ["isFraud"], ["layout"], []]
+    found = {k: v for k, v in seen.get.items() if v}
+    assert found == {"lines": 5, "quarantined": 3, "misfit_amount": 1, "misfit_step": 1, "misfit_isFraud": 1, "misfit_layout": 1}
+    assert raw.where("size(misfits) > 0").select("nameOrig").count() == 3
+
+
+def test_prefilter_keeps_every_wanted_row_and_exchanges_few(spark):
+    from riskflow.operators import prefilter
+
+    rows = spark.range(100_000).select(F.col("id").alias("txn_id"), (F.col("id") % 7).alias("score"))
+    rows = rows.union(spark.createDataFrame([(None, 1)], "txn_id long, score long"))
+    wanted = spark.createDataFrame([(i * 997,) for i in range(200)] + [(None,), (5,), (5,)], "txn_id long")
+    kept = prefilter.keep_possible(rows, "txn_id", wanted)
+    ids = [r.txn_id for r in kept.collect()]
+    assert kept.columns == rows.columns and len(ids) == len(set(ids))
+    assert {i * 997 for i in range(101)} | {5} <= set(ids) and len(ids) < 120
+    assert prefilter.keep_possible(rows, "txn_id", wanted.limit(0)).count() == 0
+
+
+def test_audit_join_does_not_exchange_the_score_table(spark, tmp_path):
+    """The scores meet the bitmap of wanted ids before the first exchange."""
+    from riskflow.operators import narrative, policy
+
+    path = str(tmp_path / "scored")
+    spark.range(1000).selectExpr("id as txn_id", "id / 1000 as score").write.parquet(path)
+    checked = spark.createDataFrame([(i, 5, True, None) for i in (3, 4, 2000)], "txn_id long, latency_ms long, guardrail_passed boolean, error string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        audit = narrative.audit_records(policy.apply_policy(spark.read.parquet(path)), checked)
+        plan = audit._jdf.queryExecution().executedPlan().toString()
+        rows = {r.transaction_index: r.decision for r in audit.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert rows == {3: "APPROVE", 4: "APPROVE", 2000: None}
+    side = plan[plan.index("SortMergeJoin") :]
+    scan = side[: side.index("FileScan")]
+    assert scan.rindex("BroadcastHashJoin") > scan.rindex("Exchange hashpartitioning(txn_id")
