@@ -12,7 +12,11 @@ pairs:
 
 1. Each class meets, on each short list, the smallest id of the list; the id met on most lists is
    its candidate. One candidate per class is probed; links found here contract families.
-2. A list on which all ids are in one component cannot add anything. On the others, classes of
+2. In rounds, neighbours on a list that lie in different components are probed, which adds at most
+   one pair per class and list; the links contract components further. Each round puts a list in
+   the order of another minimum hash of the short members, so near copies are often neighbours,
+   and rounds end when few probes find a link: what they miss is left to the last step.
+3. A list on which all ids are in one component cannot add anything. On the others, classes of
    different components meet if length and parity-bitmap bounds allow the required overlap
    (each differing member flips one bit, so differing bits never exceed differing members).
    All pairs met are probed. No link between different components is missed: a linked pair shares
@@ -44,6 +48,8 @@ PERCENT = 90
 HEAVY = 4096
 BITMAP_WORDS, WIDE_WORDS, WIDE_FROM = 4, 32, 1000
 BROADCAST_ROWS = 100_000
+#: Rounds of contraction end when no more than one probe in so many finds a link.
+FEW = 20
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -262,12 +268,37 @@ def _met(lists: DataFrame, words: int, percent: int, wide: bool) -> DataFrame:
     return pairs.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
 
 
+def _open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """The lists (doc_id, n, s) that hold more than one component, with each id's component."""
+    owned = lists.join(labels, lists["doc_id"] == labels["id"], "left").select(
+        "doc_id", F.coalesce("component", "doc_id").alias("root"), "n", "s"
+    )
+    ends = owned.groupBy(F.col("s").alias("list")).agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    return owned.join(ends.where("low <> high"), F.col("s") == F.col("list")).select("doc_id", "root", "n", "s")
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of consecutive rows (doc_id, root, s) of one list that lie in different components."""
+    last = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        rows = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+        if last is not None:
+            rows = np.concatenate([last, rows], axis=1)
+        last = rows[:, -1:]
+        doc, root, s = rows
+        meet = (s[1:] == s[:-1]) & (root[1:] != root[:-1])
+        ends = np.sort(np.stack([doc[:-1][meet], doc[1:][meet]]), axis=0)
+        ends = np.unique(ends, axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(ends[1]), pa.array(ends[0])], ["a", "b"])
+
+
 def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, class_id (smallest id with an equal set)."""
     docs = docs.select("doc_id", "text")
     sets = stored(document_sets(docs, width, percent, heavy_shingles(docs, width)), "ngram-sets")
     some = sets.where("n > 0")
-    members = Window.partitionBy("k1", "k2")
     classes = some.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
     reps = some.join(classes.select("rep"), some["doc_id"] == F.col("rep"), "left_semi").dropDuplicates(["doc_id", "k1", "k2"])
     reps = stored(reps.select("doc_id", "n", "short", "bits", "coarse", "wide"), "ngram-classes")
@@ -279,15 +310,24 @@ def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     pairs = best.select(F.col("doc_id").alias("a"), (-F.col("best.minus")).alias("b"))
     pairs = stored(possible(pairs, reps, percent), "ngram-candidates")
     links = stored(verified(docs, pairs, width, percent), "ngram-links")
-    # Contract: follow a found link twice; incomplete contraction only means more pairs to probe.
-    up = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    far = links.alias("l").join(up, F.col("b") == F.col("u"), "left").select("a", F.coalesce("v", "b").alias("root"))
-    owner = reps.join(far, reps["doc_id"] == far["a"], "left").select(
-        "doc_id", "n", "short", F.coalesce("root", "doc_id").alias("root")
-    )
-    spread = owner.select("doc_id", "root", "n", F.explode("short").alias("s"))
-    apart = spread.select("doc_id", "root", "n", "s", F.min("root").over(on_list).alias("low"), F.max("root").over(on_list).alias("high")).where("low <> high")
-    apart = stored(apart.select("doc_id", "root", "n", "s"), "ngram-open")
+    lists, labels, turn = reps.select("doc_id", "n", F.explode("short").alias("s")), components(links), 0
+    while True:
+        apart = stored(_open_lists(lists, labels), "ngram-open")
+        mark = F.array_min(F.transform("short", lambda m: F.xxhash64(m, F.lit(turn))))
+        marked = apart.join(reps.select("doc_id", mark.alias("mark")), "doc_id")
+        pairs = marked.repartitionByRange("s", "mark", "root").sortWithinPartitions("s", "mark", "root", "doc_id")
+        pairs = pairs.select("doc_id", "root", "s").mapInArrow(_neighbours, "a long, b long").distinct()
+        pairs = stored(possible(pairs, reps, percent), "ngram-candidates")
+        found = stored(verified(docs, pairs, width, percent), "ngram-links")
+        n_found, turn = found.count(), turn + 1
+        if n_found:
+            links = links.unionByName(found)
+            labels = components(links)
+        if n_found * FEW <= pairs.count():
+            break
+        lists = apart.drop("root")
+    if n_found:
+        apart = stored(_open_lists(apart.drop("root"), labels), "ngram-open")
     if apart.limit(1).count():
         # Short sets compare small bitmaps; sets above WIDE_FROM also meet with wide ones, as small
         # bitmaps tell nothing about them.
@@ -297,10 +337,12 @@ def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         more = stored(possible(more, reps, percent), "ngram-candidates")
         if more.limit(1).count():
             links = links.unionByName(verified(docs, more, width, percent))
-            links = stored(links, "ngram-links")
-    labels = components(links)
+            labels = components(stored(links, "ngram-links"))
+    # Copies look their class up by their set; sets without members are classes of their own.
+    named = classes.select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), "rep")
+    own = (F.col("n") > 0) & (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2"))
     result = sets.select("doc_id", "n", F.when(F.col("n") > 0, F.col("k1")).otherwise(F.xxhash64("doc_id")).alias("k1"), "k2")
-    result = result.withColumn("class_id", F.when(F.col("n") > 0, F.min("doc_id").over(members)).otherwise(F.col("doc_id")))
+    result = result.join(named, own, "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("class_id"))
     result = result.join(labels, result["class_id"] == labels["id"], "left")
     return result.select(
         "doc_id",

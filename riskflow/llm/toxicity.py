@@ -10,8 +10,9 @@ Lexicon, weights, exception phrases and curve are learned from labelled texts on
 taken if its share of toxic documents is well above its share of the others, its weight is the
 log-ratio of the shares. An exception phrase is a toxic word with a neighbour that occurs in
 clean documents and not in toxic ones; a match inside one does not count. The fit uses at most
-``sample_rows`` labelled rows (in the order of a hash of the id); lexicon and curve are bounded,
-so the automaton may be sent to every task.
+``sample_rows`` labelled rows (in the order of a hash of the id), so that lexicon and curve are
+bounded and the automaton may be sent to every task; what it finds does not depend on how these
+rows are dealt to tasks.
 
 A null or empty text has no matches and the lowest score. Without toxic labels the lexicon is
 empty and every score is the prior. Rows are independent; repeated rows give repeated results.
@@ -34,7 +35,6 @@ from pyspark.sql import functions as F
 from riskflow.llm.common import free_name
 
 SAMPLE_ROWS = 20_000
-LEXICON_LIMIT = 20_000
 STEM_SIZES = (4, 5, 6, 7, 8)
 MIN_TOXIC_DOCS = 4
 MIN_LOG_RATIO = 2.5
@@ -130,15 +130,15 @@ def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return texts.join(F.broadcast(labels), texts["text_id"] == labels["label_id"]).select("text", "label")
 
 
-def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = (Counter(), Counter())
+def _toxic_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = Counter()
     for batch in batches:
         for text, label in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            counts[label > 0].update(stems(set(fold(text).split())))
-    names = list(counts[1])  # a stem without any toxic document is never taken
+            if label > 0:
+                counts.update(stems(set(fold(text).split())))
+    names = list(counts)
     yield pa.RecordBatch.from_arrays(
-        [pa.array(names, pa.string()), *[pa.array([c[n] for n in names], pa.int64()) for c in counts[::-1]]],
-        ["stem", "toxic", "clean"],
+        [pa.array(names, pa.string()), pa.array([counts[n] for n in names], pa.int64())], ["stem", "toxic"]
     )
 
 
@@ -171,7 +171,8 @@ def _phrase_counts(shared):
                     found |= {f"{before} {word}"} if before else set()
                     found |= {f"{word} {after}"} if after else set()
                 counts[label > 0].update(found)
-        names = list(counts[0])
+        # Toxic occurrences count wherever they are: another task may have seen the clean ones.
+        names = list(counts[0] | counts[1])
         yield pa.RecordBatch.from_arrays(
             [pa.array(names, pa.string()), *[pa.array([c[n] for n in names], pa.int64()) for c in counts[::-1]]],
             ["phrase", "toxic", "clean"],
@@ -223,13 +224,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Lexicon:
     if not n_toxic or not n_clean:
         prior = (n_toxic + 0.5) / (n_toxic + n_clean + 1)
         return Lexicon({}, frozenset(), (math.log(prior / (1 - prior)), 0.0, 0.0))
-    counts = rows.mapInArrow(_stem_counts, "stem string, toxic long, clean long").groupBy("stem")
-    counts = counts.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(F.col("toxic") >= MIN_TOXIC_DOCS)
-    ratio = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1))
-    # A task that saw no toxic document with a stem left out its clean ones, so the first counts
-    # only rank candidates; the clean documents of these are then counted in full.
-    candidates = counts.select("stem", "toxic", ratio.alias("weight")).where(F.col("weight") >= MIN_LOG_RATIO)
-    toxic_docs = {r.stem: r.toxic for r in candidates.orderBy(F.desc("toxic"), "stem").limit(LEXICON_LIMIT).collect()}
+    counts = rows.mapInArrow(_toxic_counts, "stem string, toxic long").groupBy("stem").agg(F.sum("toxic").alias("toxic"))
+    # What a stem would weigh without any clean document; those that could be taken are looked up
+    # in the clean ones. Their number is bounded by the sample.
+    best = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - math.log(0.5 / (n_clean + 1))
+    candidates = counts.where((F.col("toxic") >= MIN_TOXIC_DOCS) & (best >= MIN_LOG_RATIO) & (F.col("toxic") * best >= MIN_EVIDENCE))
+    toxic_docs = {r.stem: r.toxic for r in candidates.collect()}
     shared = context.broadcast(frozenset(toxic_docs))
     clean = rows.mapInArrow(_clean_counts(shared), "stem string, clean long").groupBy("stem").agg(F.sum("clean").alias("clean"))
     clean_docs = {r.stem: r.clean for r in clean.collect()}
@@ -247,7 +247,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Lexicon:
     phrases = rows.mapInArrow(_phrase_counts(context.broadcast(plain)), "phrase string, toxic long, clean long")
     phrases = phrases.groupBy("phrase").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     phrases = phrases.where((F.col("clean") >= MIN_EXCEPTION_DOCS) & (F.col("toxic") == 0))
-    spared = frozenset(r.phrase for r in phrases.orderBy(F.desc("clean"), "phrase").limit(LEXICON_LIMIT).collect())
+    spared = frozenset(r.phrase for r in phrases.collect())
     lexicon = Lexicon(weights, spared)
     features = rows.mapInArrow(_feature_rows(context.broadcast(lexicon)), "a double, b double, label int").toPandas()
     features = features.sort_values(["a", "b", "label"])

@@ -232,3 +232,52 @@ def test_empty_tables(spark, empty, labels):
     assert fingerprints.report(empty).count() == 0
     assert language_model.score(empty, common.fold(empty["doc_id"], 7, 2)).count() == 0
     assert toxicity.scores(empty, toxicity.fit(empty, common.chosen_labels(none, "toxic", 10))).count() == 0
+
+
+def test_toxicity_does_not_depend_on_file_splits(spark, tmp_path):
+    """A toxic phrase that other files hold clean is no exception, however rows are dealt."""
+    rng = random.Random(4)
+    words_of = ["sun", "moon", "tree", "lake", "river", "stone"]
+    rows = [(i, " ".join(rng.choice(words_of) for _ in range(12)) + (" blarg beetle" if i < 60 or i >= 296 else "")) for i in range(300)]
+    marks = [(i, 1, int(i < 60)) for i in range(300)]
+    labels = common.chosen_labels(spark.createDataFrame(marks, LABELS), "toxic", 1000)
+    found = []
+    for k, parts in enumerate((1, 5, 40, None)):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts or 1)
+        if parts is None:  # the clean uses in a file of their own
+            path = str(tmp_path / f"split{k}")
+            for here in ("doc_id < 60", "doc_id >= 60"):
+                docs.where(here).coalesce(1).write.mode("append").parquet(path)
+            docs = spark.read.parquet(path)
+        lexicon = toxicity.fit(docs, labels)
+        assert not any("beetle" in phrase for phrase in lexicon.exceptions)
+        new = spark.createDataFrame([(1, "a blarg beetle"), (2, "sun"), (3, "bl4rg")], "doc_id long, text string")
+        found.append({i: (round(r.score, 9), r.predicted) for i, r in by_id(toxicity.scores(new, lexicon)).items()})
+    assert found[0] == found[1] == found[2] == found[3] and found[0][1][1] == 1
+
+
+def test_ngram_join_of_families_that_contract_slowly(spark):
+    """Chains and families of near copies that share lists with others, against brute force."""
+    rng = random.Random(9)
+    make = lambda n: [f"w{rng.randint(0, 400)}" for _ in range(n)]
+    shared, out = make(30), []
+    for _ in range(6):
+        base = shared + make(60)
+        for _ in range(14):
+            base = list(base)
+            base[rng.randrange(30, 90)] = f"x{rng.randint(0, 10**6)}"
+            out.append(" ".join(base))
+    out += [" ".join(shared + make(25)) for _ in range(20)] + [" ".join(make(4)) for _ in range(5)]
+    texts_of = dict(enumerate(out))
+    for width, percent in ((3, 90), (5, 80)):
+        sets = {i: frozenset(tuple(t.split()[k : k + width]) for k in range(max(1, len(t.split()) - width + 1))) for i, t in texts_of.items()}
+        root = {i: i for i in sets}
+        changed = True
+        while changed:
+            changed = False
+            for a, b in ((a, b) for a in sets for b in sets if root[a] > root[b]):
+                if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                    root[a], changed = root[b], True
+        docs = spark.createDataFrame(list(texts_of.items()), "doc_id long, text string").repartition(5)
+        got = by_id(ngram_join.link_components(docs, width, percent))
+        assert {i: r.component_id for i, r in got.items()} == root
