@@ -88,10 +88,8 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = language_model.score(
-        common.read_table(spark, sf_dir, "documents"), common.fold(F.col("doc_id"), 7, 2)
-    )
-    return scored.withColumn("held_out", common.fold(F.col("doc_id"), 7, 2))
+    held_out = common.fold(F.col("doc_id"), 7, 2)
+    return language_model.score(common.read_table(spark, sf_dir, "documents"), held_out)
 
 
 @query
