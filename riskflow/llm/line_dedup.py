@@ -5,16 +5,18 @@ alone. Order is by document id, then line number. A line is removed if an earlie
 an equal set or one of Jaccard similarity ``percent`` or more (judged on the input, so the result
 does not depend on what else is removed).
 
-Signatures. Lists of single rare words grow with the square of the corpus (see README), so the
-prefix is one of word groups: two matching sets differ in at most D words, D following from the
-length filter; if the words are dealt to D + 1 parts by their hash, some part is equal in both. A
-line's signatures are the hashes of its parts, for its own size band and, if a match may lie in the
-next band, for that one. Equal lines form one class first.
-
-1. Each class meets the earliest line on each of its signature lists; of these the one met most
-   often is verified.
-2. Classes still without an earlier match meet every earlier line of their lists that passes the
-   length and parity-bitmap bounds; all such pairs are verified.
+The join. Words are put in one order for the whole corpus, rare ones first: the ``FREQUENT`` words
+that occur most often come last, by their exact counts over all documents, and all others before
+them, by their hash. Two sets of the required similarity share a word among the first
+n - ceil(n * percent / 100) + 1 of each, their prefixes; so a line is listed under the words of its
+prefix only. Equal lines form one class first.
+
+1. Each class meets the earliest line on each of its lists; of these the one met most often is
+   verified.
+2. Classes still without an earlier match meet every earlier line of their lists that passes three
+   filters: sizes no further apart than the similarity allows; position, as the words before and
+   after a common word limit the overlap; and parity bitmaps, whose differing bits never exceed the
+   differing words. All such pairs are verified.
 
 So a family of near copies gives one pair per line in step 1 and nothing in step 2, and no match
 is missed. Null texts and documents without id take no part; repeated rows of an id are one
@@ -23,10 +25,12 @@ document.
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,9 +41,10 @@ from riskflow.llm.common import LOWER, HashCache, free_name, stored
 PERCENT = 90
 MIN_WORDS = 5
 BROADCAST_IDS = 1_000_000
+#: Words that come last in the order; their ranks are sent to all tasks.
+FREQUENT = 32_768
 
-_BANDS = [round(2 ** (i / 2), 3) for i in range(4, 60)]
-_SCHEMA = "doc_id long, line int, k1 long, k2 long, n int, signatures array<long>, b1 long, b2 long"
+_SCHEMA = "doc_id long, line int, k1 long, k2 long, n int, prefix array<long>, b1 long, b2 long"
 _TYPE = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -47,16 +52,13 @@ _TYPE = pa.schema(
         ("k1", pa.int64()),
         ("k2", pa.int64()),
         ("n", pa.int32()),
-        ("signatures", pa.list_(pa.int64())),
+        ("prefix", pa.list_(pa.int64())),
         ("b1", pa.int64()),
         ("b2", pa.int64()),
     ]
 )
 
 
-_MASK = (1 << 64) - 1
-
-
 def line_set(line: bytes, cache: HashCache) -> set[int]:
     """Hashes of the distinct words."""
     return {cache[w] for w in line.translate(LOWER).split()}
@@ -70,62 +72,119 @@ def matches(x: set[int], y: set[int], percent: int) -> bool:
 
 
 def signed(value: int) -> int:
-    value &= _MASK
     return value - (1 << 64) if value >> 63 else value
 
 
-def signatures(members: set[int], percent: int) -> list[int]:
-    """Hashes of the parts, for the size band of the set and, near its end, for the next one. A
-    part's hash is the sum of its words' hashes, so it does not depend on their order."""
-    n = len(members)
-    band = max(0, bisect_right(_BANDS, n) - 1)
-    bands = [band]
-    if band + 1 < len(_BANDS) and 100 * n >= percent * _BANDS[band + 1]:
-        bands.append(band + 1)
-    out = []
-    for b in bands:
-        top = int(_BANDS[b + 1]) if b + 1 < len(_BANDS) else 2**30
-        parts = 2 * top * (100 - percent) // (100 + percent) + 1
-        sums = [0] * parts
-        for h in members:
-            sums[(h >> 20) % parts] += h
-        base = b * 1_000_003
-        out += [signed((total ^ (base + p)) * 0x9E3779B97F4A7C15) for p, total in enumerate(sums)]
-    return out
-
-
-def parity(members: set[int]) -> tuple[int, int]:
-    """128 bits that tell whether an odd number of words fall on them."""
-    bits = 0
-    for h in members:
-        bits ^= 1 << (h >> 57)
-    return signed(bits), signed(bits >> 64)
-
-
-def line_rows(docs: DataFrame, percent: int, min_words: int) -> DataFrame:
+class WordOrder(dict):
+    """Word to a slot of two arrays: its hash, and its place in the corpus order as one number,
+    half its hash for a rare word and above all these for a frequent one."""
+
+    def __init__(self, ranks: dict[int, int], limit: int = 400_000, limit_bytes: int = 32 << 20) -> None:
+        self.ranks, self.limit, self.limit_bytes, self.bytes = ranks, limit, limit_bytes, 0
+        self.hashes, self.places = np.zeros(limit, np.uint64), np.zeros(limit, np.int64)
+
+    def __missing__(self, word: bytes) -> int:
+        slot = self[word] = len(self)
+        if slot >= self.hashes.size:
+            self.hashes, self.places = (np.concatenate([a, np.zeros_like(a)]) for a in (self.hashes, self.places))
+        h = xxhash.xxh3_64_intdigest(word)
+        rank = self.ranks.get(h)
+        self.hashes[slot], self.places[slot] = h, h >> 2 if rank is None else (1 << 62) + rank
+        self.bytes += len(word)
+        return slot
+
+    def settle(self) -> None:
+        """Forget words, between texts, if they are too many or too long."""
+        if len(self) > self.limit or self.bytes > self.limit_bytes:
+            self.clear()
+            self.bytes = 0
+
+
+def line_columns(sizes: list[int], words: list[bytes], order: WordOrder, percent: int, min_words: int) -> tuple:
+    """Of lines given by their number of words and all words in a row: which lines have a set of
+    ``min_words`` or more, and of these the keys, the set size, the prefix (offsets and hashes) and
+    the parity bitmap."""
+    order.settle()
+    slots = np.fromiter(map(order.__getitem__, words), np.int64, len(words))
+    line = np.repeat(np.arange(len(sizes)), sizes)
+    place = order.places[slots]
+    sorting = np.lexsort((place, line))
+    line, place, h = line[sorting], place[sorting], order.hashes[slots[sorting]]
+    new = np.ones(line.size, bool)
+    new[1:] = (line[1:] != line[:-1]) | (place[1:] != place[:-1])
+    line, h = line[new], h[new]
+    n = np.bincount(line, minlength=len(sizes))
+    enough = n >= min_words
+    h, n = h[enough[line]], n[enough]
+    if not n.size:
+        none = np.zeros(0, np.int64)
+        return np.flatnonzero(enough), none, none, none, np.zeros(1, np.int64), none, none, none
+    starts = np.cumsum(n) - n
+    spot = (h >> np.uint64(57)).astype(np.int64)
+    bit = np.uint64(1) << (spot % 64).astype(np.uint64)
+    halves = [np.bitwise_xor.reduceat(np.where(spot // 64 == k, bit, np.uint64(0)), starts) for k in (0, 1)]
+    keys = [np.add.reduceat(h, starts), np.add.reduceat(h * (h >> np.uint64(32) | np.uint64(1)), starts)]
+    # A set of n shares one of its first n + 1 - ceil(n * percent / 100) words with any match.
+    wanted = n + 1 + -n * percent // 100
+    first = np.arange(h.size) - np.repeat(starts, n) < np.repeat(wanted, n)
+    offsets = np.concatenate([[0], np.cumsum(wanted)])
+    as_long = [x.view(np.int64) for x in (*keys, h[first], *halves)]
+    return np.flatnonzero(enough), as_long[0], as_long[1], n, offsets, *as_long[2:]
+
+
+def frequent_words(docs: DataFrame, limit: int = FREQUENT) -> dict[int, int]:
+    """Hashes of the most frequent words of all texts to their rank, the least frequent first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+
+        def block() -> pa.RecordBatch:
+            hashes = pa.array([signed(xxhash.xxh3_64_intdigest(w)) for w in counts], pa.int64())
+            out = pa.RecordBatch.from_arrays([hashes, pa.array(list(counts.values()), pa.int64())], ["h", "n"])
+            counts.clear()
+            return out
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                counts.update(text.translate(LOWER).split())
+                if len(counts) > 400_000:
+                    yield block()
+        yield block()
+
+    texts = docs.select(F.col("text").cast("binary").alias("text")).where("text is not null")
+    counts = texts.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    top = counts.orderBy(F.desc("n"), "h").limit(limit).collect()
+    return {r.h & (1 << 64) - 1: len(top) - i for i, r in enumerate(top)}
+
+
+def line_rows(docs: DataFrame, percent: int, min_words: int, ranks: dict[int, int]) -> DataFrame:
     """A row for every line that can match."""
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = HashCache()
-        rows: list[list] = [[] for _ in _TYPE]
+        order = WordOrder(shared.value)
+        owners, numbers, sizes, words = [], [], [], []
 
         def block() -> pa.RecordBatch:
-            arrays = [pa.array(c, f.type) for c, f in zip(rows, _TYPE, strict=True)]
-            for c in rows:
+            kept, k1, k2, n, offsets, prefix, b1, b2 = line_columns(sizes, words, order, percent, min_words)
+            listed = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(prefix, pa.int64()))
+            ids, lines = np.array(owners, np.int64)[kept], np.array(numbers, np.int32)[kept]
+            columns = [pa.array(c) for c in (ids, lines, k1, k2, n.astype(np.int32))]
+            columns += [listed, pa.array(b1), pa.array(b2)]
+            for c in (owners, numbers, sizes, words):
                 c.clear()
-            return pa.RecordBatch.from_arrays(arrays, schema=_TYPE)
+            return pa.RecordBatch.from_arrays(columns, schema=_TYPE)
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for number, line in enumerate(text.split(b"\n")):
-                    members = line_set(line, cache)
-                    if len(members) < min_words:
-                        continue
-                    k1, k2 = signed(sum(members)), signed(sum(h * (h >> 32 | 1) for h in members))
-                    values = (doc_id, number, k1, k2, len(members), signatures(members, percent), *parity(members))
-                    for column, value in zip(rows, values, strict=True):
-                        column.append(value)
-                if len(rows[0]) >= 20_000:
+                for number, line in enumerate(text.translate(LOWER).split(b"\n")):
+                    found = line.split()
+                    if len(found) >= min_words:
+                        owners.append(doc_id)
+                        numbers.append(number)
+                        sizes.append(len(found))
+                        words += found
+                if len(words) > 300_000:
                     yield block()
         yield block()
 
@@ -167,29 +226,30 @@ def verified(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
     """Columns doc_id, line (from 0) of the lines to remove."""
-    lines = stored(line_rows(docs, percent, min_words), "line-sets")
+    lines = stored(line_rows(docs, percent, min_words, frequent_words(docs)), "line-sets")
     firsts = lines.groupBy("k1", "k2").agg(
-        F.min(F.struct("doc_id", "line")).alias("first"), F.first("signatures").alias("signatures")
+        F.min(F.struct("doc_id", "line")).alias("first"),
+        *(F.first(c).alias(c) for c in ("n", "b1", "b2", "prefix")),
     )
-    postings = firsts.select("first", F.explode("signatures").alias("s"))
+    shape = ["doc_id", "line", "n", "b1", "b2", "at"]
+    postings = firsts.select("first.*", "n", "b1", "b2", F.posexplode("prefix").alias("at", "s"))
     on_list = Window.partitionBy("s")
-    postings = postings.select("s", "first", F.min("first").over(on_list).alias("low"), F.max("first").over(on_list).alias("high"))
-    shared = stored(
-        postings.where("low <> high").select("s", F.col("first.doc_id").alias("doc_id"), F.col("first.line").alias("line"), "low"),
-        "line-lists",
+    postings = postings.select(
+        "s", *shape, F.min(F.struct(*shape)).over(on_list).alias("y"), F.max(F.struct("doc_id", "line")).over(on_list).alias("high")
     )
-    votes = shared.where((F.col("low.doc_id") != F.col("doc_id")) | (F.col("low.line") != F.col("line")))
-    votes = votes.groupBy("doc_id", "line", "low").agg(F.count("*").alias("lists"))
-    best = votes.groupBy("doc_id", "line").agg(F.max_by("low", F.struct("lists", (-F.col("low.doc_id")).alias("d"), (-F.col("low.line")).alias("l"))).alias("to"))
+    shared = stored(postings.where("y.doc_id <> high.doc_id or y.line <> high.line").select("s", *shape, "y"), "line-lists")
+    met = shared.select("s", F.struct(*shape).alias("x"), "y").where(_later() & _bounds(percent) & _position(percent))
+    votes = met.groupBy("x.doc_id", "x.line", F.struct("y.doc_id", "y.line").alias("to")).agg(F.count("*").alias("lists"))
+    earliest = F.struct("lists", (-F.col("to.doc_id")).alias("d"), (-F.col("to.line")).alias("l"))
+    best = votes.groupBy("doc_id", "line").agg(F.max_by("to", earliest).alias("to"))
     pairs = best.select("doc_id", "line", F.col("to.doc_id").alias("to_doc"), F.col("to.line").alias("to_line"))
-    shapes = lines.select("doc_id", "line", "n", "b1", "b2").dropDuplicates(["doc_id", "line"])
-    pairs = stored(_possible(pairs, shapes, percent), "line-pairs")
+    pairs = stored(pairs, "line-pairs")
     matched = stored(verified(docs, pairs, percent), "line-matches")
-    rest = shared.select("s", "doc_id", "line").join(shapes, ["doc_id", "line"])
+    rest = shared.drop("y")
     open_lines = rest.join(matched, ["doc_id", "line"], "left_anti")
-    x, y = open_lines.alias("x"), rest.alias("y")
-    later = (F.col("x.doc_id") > F.col("y.doc_id")) | ((F.col("x.doc_id") == F.col("y.doc_id")) & (F.col("x.line") > F.col("y.line")))
-    more = x.join(y, (F.col("x.s") == F.col("y.s")) & later & _bounds(percent))
+    more = open_lines.alias("x").join(
+        rest.alias("y"), (F.col("x.s") == F.col("y.s")) & _later() & _bounds(percent) & _position(percent)
+    )
     more = more.select("x.doc_id", "x.line", F.col("y.doc_id").alias("to_doc"), F.col("y.line").alias("to_line")).distinct()
     more = stored(more, "line-pairs")
     near = matched
@@ -207,6 +267,11 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_
     return found.where(F.col("matched") | ~is_first).select("doc_id", "line").distinct()
 
 
+def _later() -> Column:
+    """Whether line x comes after line y."""
+    return (F.col("x.doc_id") > F.col("y.doc_id")) | ((F.col("x.doc_id") == F.col("y.doc_id")) & (F.col("x.line") > F.col("y.line")))
+
+
 def _bounds(percent: int) -> Column:
     """Length and bitmap bounds on pairs x, y: differing bits never exceed differing words."""
     nx, ny = F.col("x.n"), F.col("y.n")
@@ -215,11 +280,12 @@ def _bounds(percent: int) -> Column:
     return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * percent) & (differing <= nx + ny - 2 * common)
 
 
-def _possible(pairs: DataFrame, shapes: DataFrame, percent: int) -> DataFrame:
-    x = pairs.join(shapes, ["doc_id", "line"]).alias("x")
-    y = shapes.alias("y")
-    both = x.join(y, (F.col("x.to_doc") == F.col("y.doc_id")) & (F.col("x.to_line") == F.col("y.line")) & _bounds(percent))
-    return both.select("x.doc_id", "x.line", "to_doc", "to_line")
+def _position(percent: int) -> Column:
+    """Positional bound on pairs x, y that meet in a word: what they share before it lies before it
+    in both, and what they share after it lies after it in both."""
+    nx, ny = F.col("x.n"), F.col("y.n")
+    most = F.least("x.at", "y.at") + 1 + F.least(nx - F.col("x.at"), ny - F.col("y.at")) - 1
+    return most >= F.ceil((nx + ny) * percent / (100 + percent) - 1e-9)
 
 
 def report(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
