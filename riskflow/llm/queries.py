@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskflow.llm import common, conversation_repair, decontamination, fingerprints, language_model, line_dedup, mixing, ngram_join, packing
 from riskflow.llm import quality, suffix_dedup, token_counts, toxicity, whitening
+from riskflow.llm.sql import all_sql  # noqa: F401
 
 #: Token shares of the mix: less English than there is, few poor texts.
 MIX_WEIGHTS = {"en": 0.50, "de": 0.18, "fr": 0.17, "es": 0.12, "poor": 0.03}
@@ -28,10 +29,6 @@ def all_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
-def all_sql() -> dict[str, str]:
-    return {}
-
-
 @query
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_components(common.read_table(spark, sf_dir, "documents"))

@@ -35,26 +35,24 @@ class SymbolMap(dict):
 def frequent_words(docs: DataFrame, split: Callable[[bytes | None], list[bytes]], size: int) -> list[bytes]:
     """The ``size`` most frequent words of the texts, ties in byte order.
 
-    Every task counts its words; a word leaves a task only if it makes up at least a
-    ``1 / (64 * size)`` share there, so at most 64 * size rows leave each task. A word that is
-    among the most frequent overall clears that share in some task, and which words are chosen
-    affects only how finely the vocabulary resolves, never what is counted or scored.
+    All words are counted, so the choice does not depend on how the texts are dealt to tasks. A
+    task hands on one row per distinct word, or several if it has seen very many.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
-        total = 0
+
+        def block() -> pa.RecordBatch:
+            columns = [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())]
+            counts.clear()
+            return pa.RecordBatch.from_arrays(columns, ["word", "n"])
+
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                words = split(text)
-                total += len(words)
-                counts.update(words)
-            if len(counts) > 500_000:
-                counts = Counter({w: n for w, n in counts.items() if n > total / (256 * size)})
-        kept = [(w, n) for w, n in counts.items() if n * 64 * size >= total and len(w) <= 64]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([w for w, _ in kept], pa.binary()), pa.array([n for _, n in kept], pa.int64())], ["word", "n"]
-        )
+                counts.update(split(text))
+                if len(counts) > 300_000:
+                    yield block()
+        yield block()
 
     counts = docs.select(F.col("text").cast("binary")).mapInArrow(run, "word binary, n long")
     top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)

@@ -281,3 +281,36 @@ def test_ngram_join_of_families_that_contract_slowly(spark):
         docs = spark.createDataFrame(list(texts_of.items()), "doc_id long, text string").repartition(5)
         got = by_id(ngram_join.link_components(docs, width, percent))
         assert {i: r.component_id for i, r in got.items()} == root
+
+
+def test_line_dedup_of_crowded_words(spark):
+    """Lines of few frequent words, unrelated ones and near copies, against brute force."""
+    rng = random.Random(12)
+    common_words = [f"c{i}" for i in range(25)]
+    rows = []
+    for i in range(60):
+        lines = [" ".join(rng.sample(common_words, rng.randint(5, 14))) for _ in range(8)]
+        lines += [" ".join(f"r{rng.randint(0, 3000)}" for _ in range(rng.randint(5, 40))) for _ in range(3)]
+        rows.append((i, "\n".join(lines)))
+    long = rows[3][1].split("\n")[-1].split()
+    rows += [(100 + k, " ".join(long[:-1] + [f"z{k}"])) for k in range(6)] + [(200, rows[5][1].upper()), (201, "a b c d e")]
+    earlier: list[frozenset] = []
+    gone = defaultdict(list)
+    for i, t in rows:
+        for k, line in enumerate(t.split("\n")):
+            s = frozenset(lower(line).split())
+            if len(s) >= 5:
+                if any(100 * len(s & e) >= 90 * len(s | e) for e in earlier):
+                    gone[i].append(k)
+                earlier.append(s)
+    for parts in (1, 7):
+        got = by_id(line_dedup.report(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)))
+        assert {i: list(r.removed) for i, r in got.items() if r.n_removed} == dict(gone)
+
+
+def test_quality_does_not_depend_on_partitions(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    seen = [by_id(quality.report(docs.repartition(n), labels)) for n in (1, 17)]
+    assert {i: r.rejected for i, r in seen[0].items()} == {i: r.rejected for i, r in seen[1].items()}
+    assert all(seen[0][i].perplexity == pytest.approx(seen[1][i].perplexity, rel=1e-9) for i in seen[0])
