@@ -48,8 +48,8 @@ PERCENT = 90
 HEAVY = 4096
 BITMAP_WORDS, WIDE_WORDS, WIDE_FROM = 4, 32, 1000
 BROADCAST_ROWS = 100_000
-#: Rounds of contraction end when no more than one probe in so many finds a link.
-FEW = 20
+#: Rounds of contraction go on while more than one probe in so many finds a link.
+FEW = 2
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
