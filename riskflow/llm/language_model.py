@@ -5,8 +5,9 @@ are counted exactly. The neural model works on a bounded vocabulary of symbols:
 frequent words, and classes of all other words by their last two bytes. Its context vector is a
 linear map of the vectors of the two symbols before; the score of a symbol is the product with its
 own vector plus a bias. It is trained on the counts of all symbol triples of all training texts:
-in every round each shard of triples takes gradient steps of noise-contrastive estimation (noise
-from the symbols' frequencies) from the same parameters, and the results are averaged.
+in every round each shard of contexts takes gradient steps of noise-contrastive estimation (the
+expectation of noise from the symbols' frequencies) over all its triples, each weighted by its
+count, from the same parameters, and the results are averaged.
 
 As there are at most size² contexts, one batched matrix product gives the normalised
 log-probabilities of all of them, a bounded table that every token is looked up in. A word in a
@@ -36,6 +37,7 @@ from riskflow.llm.symbols import triple_counts
 SIZE, FREQUENT, WIDTH = 192, 127, 24
 COMMON = 65_536
 ROUNDS, SHARDS, NOISE, RATE = 5, 12, 16, 0.1
+PASSES, STEPS = 2, 192  # of a shard in a round
 
 Parameters = dict[str, np.ndarray]
 
@@ -117,38 +119,39 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def train_shard(p: Parameters, grams: np.ndarray, counts: np.ndarray, noise: np.ndarray, seed: int) -> Parameters:
-    """One pass of noise-contrastive steps (with per-number learning rates) over a shard's triples."""
+    """Passes of noise-contrastive steps (with per-number learning rates) over all of a shard's triples.
+
+    Every triple counts as often as it occurs, and the noise with its expectation; nothing is drawn
+    but the order of the contexts.
+    """
     rng = np.random.default_rng(seed)
     p = {k: v.astype(np.float64) for k, v in p.items()}
     seen = {k: np.full(v.shape, 1e-3) for k, v in p.items()}
-    a, b, c = grams // (SIZE * SIZE), grams // SIZE % SIZE, grams % SIZE
-    log_noise = np.log(NOISE * noise)
-    # Triples are drawn as often as they occur, as many as there are distinct ones, twice over.
-    picks = rng.choice(grams.size, size=min(2 * grams.size, 400_000), p=counts / counts.sum())
-    for at in range(0, picks.size, 2048):
-        i = picks[at : at + 2048]
-        n = i.size
-        wrong = rng.choice(SIZE, size=NOISE, p=noise)  # shared by the batch
-        ra, rb = p["r"][a[i]], p["r"][b[i]]
-        context = ra @ p["ca"] + rb @ p["cb"]
-        right = c[i]
-        s_right = (context * p["q"][right]).sum(1) + p["bias"][right] - log_noise[right]
-        s_wrong = context @ p["q"][wrong].T + p["bias"][wrong] - log_noise[wrong]
-        g_right = 1 / (1 + np.exp(np.clip(s_right, -30, 30)))  # 1 - sigmoid
-        g_wrong = -1 / (1 + np.exp(-np.clip(s_wrong, -30, 30)))
-        g_context = g_right[:, None] * p["q"][right] + g_wrong @ p["q"][wrong]
-        grads = {k: np.zeros_like(v) for k, v in p.items()}
-        np.add.at(grads["q"], right, g_right[:, None] * context)
-        np.add.at(grads["q"], wrong, g_wrong.T @ context)
-        np.add.at(grads["bias"], right, g_right)
-        np.add.at(grads["bias"], wrong, g_wrong.sum(0))
-        grads["ca"], grads["cb"] = ra.T @ g_context, rb.T @ g_context
-        np.add.at(grads["r"], a[i], g_context @ p["ca"].T)
-        np.add.at(grads["r"], b[i], g_context @ p["cb"].T)
-        for k, g in grads.items():
-            g /= n
-            seen[k] += g * g
-            p[k] += RATE * g / np.sqrt(seen[k])
+    contexts, row = np.unique(grams // SIZE, return_inverse=True)
+    table = np.zeros((contexts.size, SIZE))  # occurrences of each symbol after each context
+    np.add.at(table, (row, grams % SIZE), counts)
+    a, b, mass = contexts // SIZE, contexts % SIZE, table.sum(1)
+    log_noise, share = np.log(NOISE * noise), mass.sum() / STEPS
+    for _ in range(PASSES):
+        order = rng.permutation(contexts.size)
+        # Steps take contexts of about equal mass; one that is heavier than that has its own step.
+        cuts = np.searchsorted(np.cumsum(mass[order]), share * np.arange(1, STEPS))
+        for i in np.split(order, cuts):
+            if not i.size:
+                continue
+            ra, rb = p["r"][a[i]], p["r"][b[i]]
+            context = ra @ p["ca"] + rb @ p["cb"]
+            scores = context @ p["q"].T + p["bias"] - log_noise
+            is_word = 1 / (1 + np.exp(-np.clip(scores, -30, 30)))
+            g = (table[i] * (1 - is_word) - mass[i, None] * (NOISE * noise) * is_word) / share
+            g_context = g @ p["q"]
+            grads = {"q": g.T @ context, "bias": g.sum(0), "ca": ra.T @ g_context, "cb": rb.T @ g_context}
+            grads["r"] = np.zeros_like(p["r"])
+            np.add.at(grads["r"], a[i], g_context @ p["ca"].T)
+            np.add.at(grads["r"], b[i], g_context @ p["cb"].T)
+            for k, v in grads.items():
+                seen[k] += v * v
+                p[k] += RATE * v / np.sqrt(seen[k])
     return {k: v.astype(np.float32) for k, v in p.items()}
 
 
@@ -187,12 +190,12 @@ def train(triples: DataFrame, symbol_totals: np.ndarray, rounds: int = ROUNDS) -
         "bias": np.log(noise).astype(np.float32),
     }
     context = triples.sparkSession.sparkContext
-    sharded = triples.withColumn("shard", F.pmod(F.xxhash64("gram"), F.lit(SHARDS)).cast("int"))
+    sharded = triples.withColumn("shard", F.pmod(F.xxhash64(F.floor(F.col("gram") / SIZE)), F.lit(SHARDS)).cast("int"))
     sharded = stored(sharded.repartition(SHARDS, "shard"), "lm-triples")
 
     for number in range(rounds):
         run = _shard_step(context.broadcast(p), noise, 1000 * number)
-        # A shard has at most SIZE ** 3 / SHARDS rows, whatever the corpus.
+        # All shards together have at most SIZE ** 3 rows, whatever the corpus.
         rows = sharded.groupBy("shard").applyInArrow(run, "p binary, n long").collect()
         if not rows:
             break
