@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
-from riskflow.llm import language_model
+from riskflow.llm import common, language_model, mixing, quality, toxicity
 
 
 def test_language_model_learns_from_rare_triples():
@@ -20,3 +24,25 @@ def test_language_model_learns_from_rare_triples():
     assert moved == {1, 2, 4, 5}
     doubled = language_model.train_shard(p, grams, 2 * counts, noise, 0)
     assert all(np.allclose(new[k], doubled[k], atol=1e-6) for k in p)
+
+
+def test_quality_learns_from_all_trusted_texts(spark, monkeypatch):
+    n = 20_100
+    docs = spark.range(n).selectExpr("id as doc_id", "'alpha beta' as text", "'en' as lang")
+    labels = spark.range(n).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    found = []
+    monkeypatch.setattr(quality, "kneser_ney", lambda triples, size: found.append(triples.agg(F.sum("n")).first()[0]))
+    quality.fit(docs, labels)
+    assert found == [2 * n]
+
+
+def test_labels_of_all_documents_are_used(spark):
+    n = 20_100
+    docs = spark.range(n).selectExpr("id as doc_id", "if(id % 4 = 0, 'alpha blarg', 'alpha beta') as text", "'en' as lang")
+    labels = spark.range(n).selectExpr("id as doc_id", "int(id % 3 > 0) as quality", "int(id % 4 = 0) as toxic")
+    model = mixing.fit_classifier(docs, labels)
+    sizes = {d: round(math.exp(p) * (n + 2) - 1) for d, p in zip(model.domains, model.log_prior, strict=True)}
+    assert sizes == {"en": n * 2 // 3, "poor": n // 3}
+    lexicon = toxicity.fit(docs, common.chosen_labels(labels, "toxic"))
+    weight = math.log((n // 4 + 0.5) / (n // 4 + 1)) - math.log(0.5 / (n - n // 4 + 1))
+    assert lexicon.weights[" blar"] == pytest.approx(weight, rel=1e-12)
