@@ -1,7 +1,6 @@
 """Mixing sources to target weights by soft domain membership, with DataFrame operations only.
 
-1. A naive Bayes classifier over hashed words is trained on labelled documents (at most
-   ``sample_rows`` of them); it gives every document a posterior over the domains. The table of
+1. A naive Bayes classifier over hashed words is trained on all labelled documents; it gives every document a posterior over the domains. The table of
    log-likelihoods has buckets * domains numbers and is a literal of the plan.
 2. Every document gets a nonnegative rate, how often it is to be seen. With t the document's
    tokens, p its posterior and M = sum_d t_d p_d p_d', the rates r minimise the squared length, in
@@ -30,10 +29,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import free_name, stored
+from riskflow.llm.common import chosen_labels, free_name, stored
 
 BUCKETS = 1024
-SAMPLE_ROWS = 20_000
 MAX_ROUNDS = 60
 TOLERANCE = 1e-4
 
@@ -64,19 +62,17 @@ def word_buckets(text: Column, buckets: int) -> Column:
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
 
 
-def labelled_domains(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """Texts of at most ``rows`` labelled documents with their domain: ``poor`` if labelled of low
-    quality, else their language, ``other`` without one."""
-    known = labels.where("doc_id is not null and quality is not null")
-    known = known.groupBy(F.col("doc_id").alias("label_id")).agg(F.max("quality").alias("q"))
-    chosen = known.orderBy(F.xxhash64("label_id"), "label_id").limit(rows)
+def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Texts of all labelled documents with their domain: ``poor`` if labelled of low quality,
+    else their language, ``other`` without one."""
+    chosen = chosen_labels(labels, "quality")
     texts = docs.select(F.col("doc_id").alias("text_id"), "text", F.col("lang").alias("text_lang"))
-    domain = F.when(F.col("q") == 0, "poor").otherwise(F.coalesce("text_lang", F.lit("other")))
-    return texts.join(F.broadcast(chosen), texts["text_id"] == chosen["label_id"]).select("text", domain.alias("domain"))
+    domain = F.when(F.col("label") == 0, "poor").otherwise(F.coalesce("text_lang", F.lit("other")))
+    return texts.join(chosen, texts["text_id"] == chosen["label_id"]).select("text", domain.alias("domain"))
 
 
-def fit_classifier(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, sample_rows: int = SAMPLE_ROWS) -> Classifier:
-    known = labelled_domains(docs, labels, sample_rows)
+def fit_classifier(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> Classifier:
+    known = labelled_domains(docs, labels)
     # Presence per document, so that one long text does not outweigh the others.
     words = known.select("domain", F.explode_outer(F.array_distinct(word_buckets(F.col("text"), buckets))).alias("bucket"))
     counts = words.groupBy("domain", "bucket").agg(F.count("*").alias("n")).collect()
@@ -181,10 +177,10 @@ def fit_rates(
 
 
 def mixed(
-    docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, sample_rows: int = SAMPLE_ROWS
+    docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None
 ) -> tuple[DataFrame, Mix, Classifier]:
     """Per document: doc_id, tokens, posterior, rate; the fitted mix and the classifier."""
-    model = fit_classifier(docs, labels, sample_rows=sample_rows)
+    model = fit_classifier(docs, labels)
     scored = add_posterior(docs.select("doc_id", "text"), "score", model)
     scored = stored(scored.select("doc_id", "score.tokens", "score.posterior"), "mixing-scores")
     mix = fit_rates(scored, model.domains, weights)

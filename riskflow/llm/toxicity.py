@@ -9,10 +9,10 @@ curve.
 Lexicon, weights, exception phrases and curve are learned from labelled texts only: a stem is
 taken if its share of toxic documents is well above its share of the others, its weight is the
 log-ratio of the shares. An exception phrase is a toxic word with a neighbour that occurs in
-clean documents and not in toxic ones; a match inside one does not count. The fit uses at most
-``sample_rows`` labelled rows (in the order of a hash of the id), so that lexicon and curve are
-bounded and the automaton may be sent to every task; what it finds does not depend on how these
-rows are dealt to tasks.
+clean documents and not in toxic ones; a match inside one does not count. The fit uses all
+labelled rows: stems and phrases are counted, and the curve is fitted, by aggregations, and only
+what enters the lexicon reaches the driver; what it finds does not depend on how rows are dealt to
+tasks.
 
 A null or empty text has no matches and the lowest score. Without toxic labels the lexicon is
 empty and every score is the prior. Rows are independent; repeated rows give repeated results.
@@ -32,9 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import free_name
+from riskflow.llm.common import free_name, stored
 
-SAMPLE_ROWS = 20_000
 STEM_SIZES = (4, 5, 6, 7, 8)
 MIN_TOXIC_DOCS = 4
 MIN_LOG_RATIO = 2.5
@@ -125,36 +124,28 @@ def probability(curve: tuple[float, float, float], features: tuple[float, float]
 
 
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts of the chosen labels; ``labels`` is bounded and is sent to the documents."""
+    """Texts of the chosen labels."""
     texts = docs.select(F.col("doc_id").alias("text_id"), "text")
-    return texts.join(F.broadcast(labels), texts["text_id"] == labels["label_id"]).select("text", "label")
+    return texts.join(labels, texts["text_id"] == labels["label_id"]).select("text", "label")
 
 
-def _toxic_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = Counter()
-    for batch in batches:
-        for text, label in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            if label > 0:
-                counts.update(stems(set(fold(text).split())))
-    names = list(counts)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(names, pa.string()), pa.array([counts[n] for n in names], pa.int64())], ["stem", "toxic"]
-    )
+def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Toxic and clean documents of every stem; a task hands on a stem again if it has seen many."""
+    counts: dict[str, list[int]] = {}
 
+    def block() -> pa.RecordBatch:
+        columns = [pa.array(counts, pa.string()), *[pa.array([n[k] for n in counts.values()], pa.int64()) for k in (1, 0)]]
+        counts.clear()
+        return pa.RecordBatch.from_arrays(columns, ["stem", "toxic", "clean"])
 
-def _clean_counts(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, counts = shared.value, Counter()
-        for batch in batches:
-            for text, label in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if label == 0:
-                    counts.update(stems(set(fold(text).split())) & wanted)
-        names = list(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([counts[n] for n in names], pa.int64())], ["stem", "clean"]
-        )
-
-    return run
+    for batch in batches:
+        for text, label in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            side = int(label > 0)
+            for stem in stems(set(fold(text).split())):
+                counts.setdefault(stem, [0, 0])[side] += 1
+            if len(counts) > 300_000:
+                yield block()
+    yield block()
 
 
 def _phrase_counts(shared):
@@ -195,28 +186,38 @@ def _feature_rows(shared):
     return run
 
 
-def fit_curve(rows: np.ndarray, labels: np.ndarray) -> tuple[float, float, float]:
-    """Ridge logistic regression by Newton steps; no slope is negative."""
-    y = (labels > 0).astype(float)
-    use = [0, 1]
+def fit_curve(rows: DataFrame) -> tuple[float, float, float]:
+    """Ridge logistic regression by Newton steps over rows of features a, b, label and their number
+    n; no slope is negative. A step is one aggregation, to exact sums of decimals."""
+    use = ["a", "b"]
     while True:
-        x = np.column_stack([np.ones(len(y)), rows[:, use]]) if len(y) else np.ones((0, 1 + len(use)))
-        w, ridge = np.zeros(x.shape[1]), np.diag([1e-6] + [0.05] * len(use)) + 1e-9 * np.eye(1 + len(use))
+        x = [F.lit(1.0), *map(F.col, use)]
+        k = len(x)
+        pairs = [(i, j) for i in range(k) for j in range(i + 1)]
+        w, ridge = np.zeros(k), np.diag([1e-6] + [0.05] * len(use)) + 1e-9 * np.eye(k)
         for _ in range(60):
-            p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
-            step = np.linalg.solve((x.T * (p * (1 - p))) @ x + ridge, x.T @ (y - p) - ridge @ w)
+            z = sum((c * float(v) for c, v in zip(x[1:], w[1:], strict=True)), F.lit(float(w[0])))
+            p = 1 / (1 + F.exp(-F.greatest(F.lit(-40.0), F.least(F.lit(40.0), z))))
+            miss = F.when(F.col("label") > 0, 1.0).otherwise(0.0) - F.col("p")
+            spread = F.col("p") * (1 - F.col("p"))
+            terms = [miss * c for c in x] + [spread * x[i] * x[j] for i, j in pairs]
+            sums = [F.sum((F.col("n") * t).cast("decimal(38,18)")).alias(f"s{i}") for i, t in enumerate(terms)]
+            found = [float(v or 0) for v in rows.withColumn("p", p).agg(*sums).first()]
+            curvature = np.zeros((k, k))
+            for (i, j), v in zip(pairs, found[k:], strict=True):
+                curvature[i, j] = curvature[j, i] = v
+            step = np.linalg.solve(curvature + ridge, np.array(found[:k]) - ridge @ w)
             w = np.clip(w + np.clip(step, -2, 2), -40, 40)
             if np.abs(step).max() < 1e-8:
                 break
-        negative = [i for i, slope in zip(use, w[1:], strict=True) if slope < 0]
-        if not negative:
-            slopes = dict(zip(use, w[1:], strict=True))
-            return float(w[0]), float(slopes.get(0, 0.0)), float(slopes.get(1, 0.0))
-        use = [i for i in use if i not in negative]
+        slopes = dict(zip(use, w[1:].tolist(), strict=True))
+        if all(v >= 0 for v in slopes.values()):
+            return float(w[0]), slopes.get("a", 0.0), slopes.get("b", 0.0)
+        use = [c for c in use if slopes[c] >= 0]
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Lexicon:
-    """Learn from ``labels`` (label_id, label), a bounded table such as common.chosen_labels gives."""
+    """Learn from all rows of ``labels`` (label_id, label), such as common.chosen_labels gives."""
     context = docs.sparkSession.sparkContext
     rows = _labelled(docs, labels)
     sizes = {r.toxic: r.n for r in rows.groupBy((F.col("label") > 0).alias("toxic")).agg(F.count("*").alias("n")).collect()}
@@ -224,18 +225,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> Lexicon:
     if not n_toxic or not n_clean:
         prior = (n_toxic + 0.5) / (n_toxic + n_clean + 1)
         return Lexicon({}, frozenset(), (math.log(prior / (1 - prior)), 0.0, 0.0))
-    counts = rows.mapInArrow(_toxic_counts, "stem string, toxic long").groupBy("stem").agg(F.sum("toxic").alias("toxic"))
-    # What a stem would weigh without any clean document; those that could be taken are looked up
-    # in the clean ones. Their number is bounded by the sample.
-    best = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - math.log(0.5 / (n_clean + 1))
-    candidates = counts.where((F.col("toxic") >= MIN_TOXIC_DOCS) & (best >= MIN_LOG_RATIO) & (F.col("toxic") * best >= MIN_EVIDENCE))
-    toxic_docs = {r.stem: r.toxic for r in candidates.collect()}
-    shared = context.broadcast(frozenset(toxic_docs))
-    clean = rows.mapInArrow(_clean_counts(shared), "stem string, clean long").groupBy("stem").agg(F.sum("clean").alias("clean"))
-    clean_docs = {r.stem: r.clean for r in clean.collect()}
+    counts = rows.mapInArrow(_stem_counts, "stem string, toxic long, clean long")
+    counts = counts.groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    # Only stems that are taken, or nearly so, are sent to the driver, which decides.
+    weigh = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1))
+    taken = (weigh >= MIN_LOG_RATIO - 1e-6) & (F.col("toxic") * weigh >= MIN_EVIDENCE - 1e-6)
+    found = {r.stem: (r.toxic, r.clean) for r in counts.where((F.col("toxic") >= MIN_TOXIC_DOCS) & taken).collect()}
     weights: dict[str, float] = {}
-    for stem in sorted(toxic_docs, key=lambda s: (len(s), s)):
-        a, b = toxic_docs[stem], clean_docs.get(stem, 0)
+    for stem in sorted(found, key=lambda s: (len(s), s)):
+        a, b = found[stem]
         weight = math.log((a + 0.5) / (n_toxic + 1)) - math.log((b + 0.5) / (n_clean + 1))
         if weight < MIN_LOG_RATIO or a * weight < MIN_EVIDENCE:
             continue
@@ -249,9 +247,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Lexicon:
     phrases = phrases.where((F.col("clean") >= MIN_EXCEPTION_DOCS) & (F.col("toxic") == 0))
     spared = frozenset(r.phrase for r in phrases.collect())
     lexicon = Lexicon(weights, spared)
-    features = rows.mapInArrow(_feature_rows(context.broadcast(lexicon)), "a double, b double, label int").toPandas()
-    features = features.sort_values(["a", "b", "label"])
-    return lexicon._replace(curve=fit_curve(features[["a", "b"]].to_numpy(), features["label"].to_numpy()))
+    features = rows.mapInArrow(_feature_rows(context.broadcast(lexicon)), "a double, b double, label int")
+    features = stored(features.groupBy("a", "b", "label").agg(F.count("*").alias("n")), "toxicity-features")
+    return lexicon._replace(curve=fit_curve(features))
 
 
 def add_score(docs: DataFrame, name: str, lexicon: Lexicon) -> DataFrame:
