@@ -46,3 +46,24 @@ def test_labels_of_all_documents_are_used(spark):
     lexicon = toxicity.fit(docs, common.chosen_labels(labels, "toxic"))
     weight = math.log((n // 4 + 0.5) / (n // 4 + 1)) - math.log(0.5 / (n - n // 4 + 1))
     assert lexicon.weights[" blar"] == pytest.approx(weight, rel=1e-12)
+
+
+@pytest.mark.parametrize("key", ["long", "int", "string"])
+def test_only_labelled_texts_are_exchanged(spark, tmp_path, key):
+    """Whatever the size of the labels; a document without label leaves before the exchange."""
+    docs = spark.range(4000).selectExpr(f"cast(id as {key}) as doc_id", "string(id) as text", "'en' as lang")
+    docs = docs.union(docs.where("text < '20'")).union(docs.selectExpr("null", "text", "lang").limit(3))
+    docs.write.parquet(f"{tmp_path}/docs")
+    labels = spark.range(0, 8000, 5).selectExpr("id as doc_id", "int(id % 3 > 0) as quality", "null as toxic")
+    labels = common.chosen_labels(labels, "quality")
+    if key == "long":
+        docs = spark.read.parquet(f"{tmp_path}/docs")
+    plain = docs.join(labels, docs["doc_id"] == labels["label_id"]).select("text", "label")
+    found = common.labelled(docs, labels, "text")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
+    assert found.count() > 800
+    if key == "long":
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan
+        exchanged = common.keep_possible(docs.withColumnRenamed("doc_id", "label_id"), "label_id", labels).count()
+        assert found.count() <= exchanged < 1.1 * found.count()
