@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import free_name, stored
+from riskflow.llm.common import free_name, labelled, stored
 
 STEM_SIZES = (4, 5, 6, 7, 8)
 MIN_TOXIC_DOCS = 4
@@ -123,12 +123,6 @@ def probability(curve: tuple[float, float, float], features: tuple[float, float]
     return 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
 
 
-def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts of the chosen labels."""
-    texts = docs.select(F.col("doc_id").alias("text_id"), "text")
-    return texts.join(labels, texts["text_id"] == labels["label_id"]).select("text", "label")
-
-
 def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Toxic and clean documents of every stem; a task hands on a stem again if it has seen many."""
     counts: dict[str, list[int]] = {}
@@ -219,7 +213,7 @@ def fit_curve(rows: DataFrame) -> tuple[float, float, float]:
 def fit(docs: DataFrame, labels: DataFrame) -> Lexicon:
     """Learn from all rows of ``labels`` (label_id, label), such as common.chosen_labels gives."""
     context = docs.sparkSession.sparkContext
-    rows = _labelled(docs, labels)
+    rows = stored(labelled(docs, labels, "text"), "toxicity-texts")
     sizes = {r.toxic: r.n for r in rows.groupBy((F.col("label") > 0).alias("toxic")).agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = sizes.get(True, 0), sizes.get(False, 0)
     if not n_toxic or not n_clean:
