@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import chosen_labels, free_name, stored
+from riskflow.llm.common import chosen_labels, free_name, labelled, stored
 
 BUCKETS = 1024
 MAX_ROUNDS = 60
@@ -65,10 +65,8 @@ def word_buckets(text: Column, buckets: int) -> Column:
 def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Texts of all labelled documents with their domain: ``poor`` if labelled of low quality,
     else their language, ``other`` without one."""
-    chosen = chosen_labels(labels, "quality")
-    texts = docs.select(F.col("doc_id").alias("text_id"), "text", F.col("lang").alias("text_lang"))
-    domain = F.when(F.col("label") == 0, "poor").otherwise(F.coalesce("text_lang", F.lit("other")))
-    return texts.join(chosen, texts["text_id"] == chosen["label_id"]).select("text", domain.alias("domain"))
+    domain = F.when(F.col("label") == 0, "poor").otherwise(F.coalesce("lang", F.lit("other")))
+    return labelled(docs, chosen_labels(labels, "quality"), "text", "lang").select("text", domain.alias("domain"))
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> Classifier:
