@@ -7,8 +7,8 @@
    the metric of M's inverse, of sum_d r_d t_d p_d - target. Projected gradient: from rate 1, every
    document steps against the gradient in the metric of its tokens and is cut at 0. A step depends
    on a document only through p, so the rate after k steps is a fold over k vectors: each round is
-   one aggregation to as many sums as there are domains; nothing else is shuffled and no rates
-   are stored.
+   one aggregation to as many sums as there are domains; nothing else is shuffled. Rates are
+   stored every few rounds, so that a round folds over the steps since then only.
 
 Domains are the languages of well labelled documents and one for poor ones. Target weights default
 to equal shares; a domain that given weights leave out keeps its share. Weights are scaled to sum
@@ -33,6 +33,8 @@ from riskflow.llm.common import chosen_labels, free_name, labelled, stored
 
 BUCKETS = 1024
 MAX_ROUNDS = 60
+#: Rounds after which the rates are stored; until then they are worked out on the way.
+STORE_EVERY = 6
 TOLERANCE = 1e-4
 
 
@@ -118,16 +120,21 @@ def add_posterior(docs: DataFrame, name: str, model: Classifier) -> DataFrame:
 
 def rate(posterior: Column, mix: Mix) -> Column:
     """The fitted rate: from 1 on, one projected step for every vector of ``mix.steps``."""
-    if not mix.steps:
-        return F.lit(1.0)
-    k = len(mix.domains)
-    steps = F.array(*[F.array(*[F.lit(float(v)) for v in step]) for step in mix.steps])
+    return _stepped(posterior, mix.steps, F.lit(1.0))
+
+
+def _stepped(posterior: Column, vectors: list[list[float]], start: Column) -> Column:
+    """The rate after further projected steps."""
+    if not vectors:
+        return start
+    k = len(vectors[0])
+    steps = F.array(*[F.array(*[F.lit(float(v)) for v in step]) for step in vectors])
 
     def advance(r: Column, step: Column) -> Column:
         along = sum((posterior[i] * step[i] for i in range(1, k)), posterior[0] * step[0])
         return F.greatest(F.lit(0.0), r - along)
 
-    return F.aggregate(steps, F.lit(1.0), advance)
+    return F.aggregate(steps, start, advance)
 
 
 def fit_rates(
@@ -156,13 +163,13 @@ def fit_rates(
     # no rate is cut, and no step can overshoot.
     metric = np.linalg.pinv(moments + 1e-9 * max(everything, 1e-300) * np.eye(k), hermitian=True)
     steps: list[list[float]] = []
-    reached = totals
+    reached, base, done = totals, scored.select("tokens", "posterior", F.lit(1.0).alias("rate")), 0
     for _ in range(rounds):
         gaps = reached - targets
         if not everything or np.abs(gaps).max() <= tolerance * everything:
             break
         steps.append((metric @ gaps).tolist())
-        held = scored.withColumn("rate", rate(p, Mix(domains, steps, [], [], [])))
+        held = base.withColumn("rate", _stepped(p, steps[done:], F.col("rate")))
         row = held.agg(
             *[F.coalesce(F.sum(tokens * F.col("rate") * p[i]), F.lit(0.0)).alias(f"s{i}") for i in range(k)]
         ).first()
@@ -171,6 +178,8 @@ def fit_rates(
             reached = after
             break  # nothing moves any more: the targets lie outside what nonnegative rates reach
         reached = after
+        if len(steps) - done == STORE_EVERY:
+            base, done = stored(held, "mixing-rates"), len(steps)
     return Mix(domains, steps, totals.tolist(), targets.tolist(), reached.tolist())
 
 
@@ -191,3 +200,10 @@ def add_rate(docs: DataFrame, labels: DataFrame, name: str, weights: dict[str, f
     score = free_name(docs, "score")
     scored = add_posterior(docs, score, model)
     return scored.withColumn(name, _let(F.col(f"`{score}`.posterior"), lambda p: rate(p, mix))).drop(score)
+
+
+def wanted(rated: DataFrame, name: str) -> DataFrame:
+    """The rows whose rate ``name`` is above 0. (A condition on the rate would be put below the
+    projection that works the rate out, which then happened twice.)"""
+    positive = F.explode(F.filter(F.array(F.col(f"`{name}`")), lambda r: r > 0))
+    return rated.select(*[positive.alias(c) if c == name else F.col(f"`{c}`") for c in rated.columns])

@@ -67,3 +67,30 @@ def test_only_labelled_texts_are_exchanged(spark, tmp_path, key):
         assert "ShuffledHashJoin" in plan
         exchanged = common.keep_possible(docs.withColumnRenamed("doc_id", "label_id"), "label_id", labels).count()
         assert found.count() <= exchanged < 1.1 * found.count()
+
+
+def test_rounds_of_the_mix_fold_over_few_steps(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(int(rng.integers(1, 50)), rng.dirichlet([0.3, 0.3, 0.3]).tolist()) for _ in range(60)]
+    scored = spark.createDataFrame(rows, "tokens long, posterior array<double>")
+    lengths, plain = [], mixing._stepped
+    monkeypatch.setattr(mixing, "_stepped", lambda p, vectors, start: lengths.append(len(vectors)) or plain(p, vectors, start))
+    mix = mixing.fit_rates(scored, ["a", "b", "c"], {"a": 0.98, "b": 0.01, "c": 0.01}, rounds=15, tolerance=1e-14)
+    assert len(mix.steps) == len(lengths) > mixing.STORE_EVERY == max(lengths)
+    rated = scored.withColumn("rate", mixing.rate(F.col("posterior"), mix)).collect()
+    sums = [sum(r.tokens * r.rate * r.posterior[i] for r in rated) for i in range(3)]
+    assert mix.reached == pytest.approx(sums, rel=1e-9)
+
+
+def test_rates_are_worked_out_once(spark):
+    docs = spark.range(40).selectExpr(
+        "id as doc_id", "if(id % 4 = 0, 'alpha blarg', concat('beta gamma ', id)) as text", "if(id % 4 = 0, 'de', 'en') as lang"
+    )
+    docs = docs.union(docs.limit(2)).union(docs.selectExpr("null", "null", "lang").limit(1))
+    labels = spark.range(40).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    rated = mixing.add_rate(docs, labels, "rate", {"en": 1.0, "de": 0.0})
+    kept = mixing.wanted(rated, "rate")
+    hashes = [df._jdf.queryExecution().optimizedPlan().toString().count("xxhash64") for df in (rated, kept)]
+    assert hashes[0] == hashes[1] and kept.columns == rated.columns
+    assert sorted(map(str, kept.collect())) == sorted(str(r) for r in rated.collect() if r.rate > 0)
+    assert 0 < kept.count() < rated.count()
