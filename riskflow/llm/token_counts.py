@@ -6,12 +6,13 @@ are the encoding of theirs. So t(i) is the one token ending at i whose start j i
 predecessor t(j) may stand before it, and count(i) = count(j) + 1. One pass over a piece gives
 the count of all its prefixes.
 
-A text is cut before each run of white space; no token spans such a cut, so a chunk's table
-depends on the chunk alone and is kept for the next text that has it. A table holds, for every
-code point, by how much the count changes when the prefix grows by it: one signed byte each. The
-count of any prefix is the sum of its bytes, and the longest prefix within a budget of tokens is
-read off the same table; neither encodes anything again. A prefix that ends within a special
-string counts it as ordinary text, and the whole string as the one token it is.
+A text is cut before each run of white space; no token spans such a cut, so the counts of a
+chunk's prefixes depend on the chunk alone and are kept for the next text that has it. A text's
+table holds, for every code point, by how much the count changes when the prefix grows by it: one
+signed byte each. The count of any prefix is the sum of its bytes, and the longest prefix within a
+budget of tokens is read off the same table, or off the one chunk in which it ends; neither encodes
+anything again. A prefix that ends within a special string counts it as ordinary text, and the
+whole string as the one token it is.
 
 A null or empty text has no tokens and an empty table. Rows are independent: repeated rows give
 repeated results. No shuffle, no model to send: each task reads the vocabulary file.
@@ -21,7 +22,9 @@ from __future__ import annotations
 
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -192,7 +195,7 @@ class PrefixCounter:
         return [counts[e] for e in ends] + [counts[-1]]
 
     def chunk(self, chunk: str) -> tuple[bytes, int]:
-        """Change of the count at each code point, and the count of the whole chunk."""
+        """Count at each code point, modulo 256, and the count of the whole chunk."""
         known = self.chunks.get(chunk)
         if known is not None:
             return known
@@ -227,43 +230,75 @@ class PrefixCounter:
         return self._kept(chunk, counts)
 
     def _kept(self, chunk: str, counts: list[int]) -> tuple[bytes, int]:
-        """The table of a chunk from its counts at every code point, remembered if it is short."""
-        # Counts of up to 31 code points lie within 0 and 124, so steps fit.
+        """The counts of a chunk at every code point, remembered if it is short."""
+        # Counts of up to 31 code points lie within 0 and 124, so steps fit; those of up to 63 within 252.
         if len(chunk) > 31:
             steps = [n - m for n, m in zip(counts, [0, *counts], strict=False)]
             if min(steps) < -128 or max(steps) > 127:
                 raise OverflowError("a step of the prefix table does not fit a byte")
-        result = bytes([n - m & 255 for n, m in zip(counts, [0, *counts], strict=False)]), counts[-1]
+        result = bytes(counts if len(chunk) < 64 else [n & 255 for n in counts]), counts[-1]
         if len(chunk) <= _CACHED_CHARS:
             if len(self.chunks) >= _CACHED_CHUNKS:
                 self.chunks.clear()
             self.chunks[chunk] = result
         return result
 
-    def _plain(self, text: str) -> tuple[list[bytes], int]:
+    def _plain(self, text: str) -> tuple[list[bytes], list[int]]:
+        """The counts of each chunk, and at its end."""
         known, make = self.chunks.get, self.chunk
-        tables = [known(c) or make(c) for c in _CHUNK.findall(text)]
-        return [t for t, _ in tables], sum(n for _, n in tables)
+        found = [known(c) or make(c) for c in _CHUNK.findall(text)]
+        return [t for t, _ in found], [n for _, n in found]
 
     def table(self, text: str) -> tuple[bytes, int]:
         """The prefix table of a text, and its token count."""
-        if not self.special or not any(s in text for s in self.special):
-            tables, total = self._plain(text)
-            return b"".join(tables), total
+        if not self._has_special(text):
+            counts, ends = self._plain(text)
+            return _steps(counts), sum(ends)
         out: list[bytes] = []
         total, parts = 0, self.special_split.split(text)
         for plain, special in zip(parts[::2], [*parts[1::2], ""], strict=True):
-            tables, count = self._plain(plain)
+            counts, ends = self._plain(plain)
+            count = sum(ends)
             if special:
                 partly, before = self._plain(plain + special[:-1])
-                out.extend(partly)
-                out.append(np.int8(count + 1 - before).tobytes())
+                out.append(_steps(partly))
+                out.append(np.int8(count + 1 - sum(before)).tobytes())
                 count += 1
             else:
-                out.extend(tables)
+                out.append(_steps(counts))
             total += count
         return b"".join(out), total
 
+    def _has_special(self, text: str) -> bool:
+        return any(s in text for s in self.special)
+
+    def count_within(self, text: str, budget: int) -> tuple[int, int]:
+        """The token count of a text, and the code points of its longest prefix within ``budget``."""
+        if self._has_special(text):
+            table, total = self.table(text)
+            return total, prefix_length(table, budget)
+        counts, ends = self._plain(text)
+        ends = list(accumulate(ends))
+        total = ends[-1] if ends else 0
+        if total <= budget:
+            return total, len(text)
+        # Any prefix that ends in a later chunk has a token more than all up to this one.
+        last = bisect_left(ends, budget)
+        rest = budget - (ends[last - 1] if last else 0)
+        return total, sum(map(len, counts[:last])) + prefix_length(_steps(counts[last : last + 1]), rest)
+
+
+def _steps(counts: list[bytes]) -> bytes:
+    """By how much the count grows at each code point, from the counts of successive chunks."""
+    if not counts:
+        return b""
+    at = np.frombuffer(b"".join(counts), np.uint8)
+    steps = at.copy()
+    steps[1:] -= at[:-1]
+    starts = np.fromiter(accumulate(map(len, counts[:-1]), initial=0), np.int64, len(counts))
+    steps[starts] = at[starts]
+    return steps.tobytes()
+
 
 _WHITE_SET = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{_WHITE}]", c))
 _COUNTERS: dict[str, PrefixCounter] = {}
@@ -314,19 +349,15 @@ _COUNTS_TYPE = pa.struct([("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("n
 def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT) -> DataFrame:
     """Per document: n_bytes, n_tokens, over_limit, and the code points that fit the limit.
 
-    The figures are read from each text's prefix table, which is not kept.
+    Only the chunk in which the limit falls is looked into for the latter.
     """
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         prefixes = counter(tokenizer_path)
         for batch in batches:
             sizes = pa.compute.binary_length(batch.fill_null("")).cast(pa.int64())
-            totals, within = [], []
-            for text in batch.to_pylist():
-                table, total = prefixes.table(text or "")
-                totals.append(total)
-                within.append(len(table) if total <= limit else prefix_length(table, limit))
-            columns = [sizes, pa.array(totals, pa.int64()), pa.array(within, pa.int64())]
+            found = [prefixes.count_within(text or "", limit) for text in batch.to_pylist()]
+            columns = [sizes, *(pa.array([f[i] for f in found], pa.int64()) for i in (0, 1))]
             yield pa.StructArray.from_arrays(columns, fields=list(_COUNTS_TYPE))
 
     counts = F.arrow_udf(run, returnType="struct<n_bytes:long,n_tokens:long,n_chars_within:long>")

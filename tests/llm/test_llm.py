@@ -142,6 +142,20 @@ def test_count_tokens(docs):
     assert got[8].n_tokens == 0 and got[7].n_bytes == 0 and got[0].over_limit and not got[9].over_limit
 
 
+def test_longest_prefix_without_tables(spark, monkeypatch):
+    """Counts and the longest prefix equal those of the table, which only special strings need."""
+    path, rng = public_tokenizers.path("byte_bpe_50k.json"), random.Random(8)
+    prefixes = token_counts.PrefixCounter(path)
+    alphabet = [*"ab'srevldtm  \n\t!?.,19", "é", "世", "\xa0", "😀", "<|endoftext|>", "word ", " " * 70, "é" * 70]
+    hostile = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30))) for _ in range(150)]
+    for text in hostile:
+        table, total = prefixes.table(text)
+        for budget in (0, 1, 2, 5, 17, 60, total):
+            assert prefixes.count_within(text, budget) == (total, token_counts.prefix_length(table, budget))
+    monkeypatch.setattr(prefixes, "table", None)
+    assert prefixes.count_within("two words " * 900, 1024)[1] < 9000
+
+
 def test_mixing_reaches_its_targets(docs, labels):
     rates, mix, _ = mixing.mixed(docs, labels)
     rows = rates.collect()
