@@ -19,6 +19,8 @@ pairs:
 3. A list on which all ids are in one component cannot add anything. On the others, classes of
    different components meet if length and parity-bitmap bounds allow the required overlap
    (each differing member flips one bit, so differing bits never exceed differing members).
+   Bitmaps grow with their sets, as one that is small for its set is alike for all sets: sets meet
+   by size, those of each bitmap size with those that are small enough larger.
    All pairs met are probed. No link between different components is missed: a linked pair shares
    a member of both short lists, and the bounds are exact.
 
@@ -31,6 +33,7 @@ Repeated rows are one document, and each row gets its result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +49,8 @@ from riskflow.llm.components import components
 WIDTH = 3
 PERCENT = 90
 HEAVY = 4096
-BITMAP_WORDS, WIDE_WORDS, WIDE_FROM = 4, 32, 1000
+#: Words of the smallest bitmap, and of the one from which on a bit stands for up to two members.
+BITMAP_WORDS, WIDE_WORDS = 4, 32
 BROADCAST_ROWS = 100_000
 #: Rounds of contraction go on while more than one probe in so many finds a link.
 FEW = 2
@@ -77,13 +81,23 @@ def needed(n: int, percent: int) -> int:
     return -(-n * percent // 100)
 
 
+def bitmap_words(n: int) -> int:
+    """Words of the bitmap of a set of ``n``, a power of two."""
+    words = BITMAP_WORDS
+    while largest_set(words) < n:
+        words *= 2
+    return words
+
+
+def largest_set(words: int) -> int:
+    """Size of the largest set that has a bitmap of ``words``."""
+    return 64 * words if words < WIDE_WORDS else 128 * words
+
+
 def parity_bitmap(members: np.ndarray) -> np.ndarray:
-    """Bits that tell whether an odd number of members fall on them: the next power of two above
-    half the members, at least 256 (2048 for more than ``WIDE_FROM``), as int64 words. Halves fold onto each other by exclusive or,
-    which gives the bitmap of half the size."""
-    size = 64 * (WIDE_WORDS if members.size > WIDE_FROM else BITMAP_WORDS)
-    while 2 * size < members.size:
-        size *= 2
+    """Bits that tell whether an odd number of members fall on them, as int64 words. Halves fold
+    onto each other by exclusive or, which gives the bitmap of half the size."""
+    size = 64 * bitmap_words(members.size)
     spots = (members.view(np.uint64) >> np.uint64(24)).astype(np.int64) % size
     odd = (np.bincount(spots, minlength=size) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.int64)
@@ -95,7 +109,7 @@ def folded(bitmap: np.ndarray, words: int) -> np.ndarray:
     return bitmap
 
 
-_SET_SCHEMA = "doc_id long, k1 long, k2 long, n int, short array<long>, bits binary, coarse array<long>, wide array<long>"
+_SET_SCHEMA = "doc_id long, k1 long, k2 long, n int, short array<long>, map array<long>"
 _SET_TYPE = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -103,9 +117,7 @@ _SET_TYPE = pa.schema(
         ("k2", pa.int64()),
         ("n", pa.int32()),
         ("short", pa.list_(pa.int64())),
-        ("bits", pa.binary()),
-        ("coarse", pa.list_(pa.int64())),
-        ("wide", pa.list_(pa.int64())),
+        ("map", pa.list_(pa.int64())),
     ]
 )
 
@@ -170,12 +182,10 @@ def document_sets(docs: DataFrame, width: int, percent: int, heavy: np.ndarray)
                     short = order[: n - needed(n, percent) + 1].tolist()
                     key = xxhash.xxh3_128_digest(members.tobytes())
                     k1, k2 = np.frombuffer(key, np.int64).tolist()
-                    bitmap = parity_bitmap(members)
-                    bits, coarse = bitmap.tobytes(), folded(bitmap, BITMAP_WORDS).tolist()
-                    wide = folded(bitmap, WIDE_WORDS).tolist() if n > WIDE_FROM else []
+                    bitmap = parity_bitmap(members).tolist()
                 else:
-                    short, k1, k2, bits, coarse, wide = [], 0, 0, b"", [], []
-                for column, value in zip(rows, (doc_id, k1, k2, n, short, bits, coarse, wide), strict=True):
+                    short, k1, k2, bitmap = [], 0, 0, []
+                for column, value in zip(rows, (doc_id, k1, k2, n, short, bitmap), strict=True):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, _SET_TYPE, strict=True)], schema=_SET_TYPE)
 
@@ -188,9 +198,11 @@ def within_bounds(percent: int):
     def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for batch in batches:
             out = []
-            for na, a, nb, b in zip(*[c.to_pylist() for c in batch], strict=True):
-                words = min(len(a), len(b)) // 8
-                x, y = (folded(np.frombuffer(v, np.uint64), words) for v in (a, b))
+            sizes_a, maps_a, sizes_b, maps_b = batch
+            maps = [[m.values.to_numpy() for m in c] for c in (maps_a, maps_b)]
+            for na, a, nb, b in zip(sizes_a.to_pylist(), maps[0], sizes_b.to_pylist(), maps[1], strict=True):
+                words = min(a.size, b.size)
+                x, y = (folded(v, words).view(np.uint64) for v in (a, b))
                 differing = int(np.bitwise_count(x ^ y).sum())
                 common = -(-(na + nb) * percent // (100 + percent))
                 out.append(100 * min(na, nb) >= percent * max(na, nb) and differing <= na + nb - 2 * common)
@@ -201,10 +213,10 @@ def within_bounds(percent: int):
 
 def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that pass the length and bitmap bounds."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
+    left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("map").alias("map_a"))
+    right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("map").alias("map_b"))
     both = pairs.join(left, "a").join(right, "b")
-    return both.where(within_bounds(percent)("na", "bits_a", "nb", "bits_b")).select("a", "b")
+    return both.where(within_bounds(percent)("na", "map_a", "nb", "map_b")).select("a", "b")
 
 
 def probe(width: int, percent: int):
@@ -250,20 +262,40 @@ def _allowed(nx: Column, ny: Column, percent: int) -> Column:
     return together - 2 * F.ceil(together * percent / (100 + percent) - 1e-9)
 
 
-def _met(lists: DataFrame, words: int, percent: int, wide: bool) -> DataFrame:
-    """Pairs (a, b) of different components on a common list that pass length and bitmap bounds;
-    with ``wide`` those of two sets above WIDE_FROM, else the others."""
-    x, y = lists.alias("x"), lists.alias("y")
-    differing = sum((F.bit_count(F.col("x.map")[i].bitwiseXOR(F.col("y.map")[i])) for i in range(words)), F.lit(0))
-    both_large = F.least("x.n", "y.n") > WIDE_FROM
+def _folded(bitmap: Column, words: int) -> Column:
+    """A bitmap folded to ``words``."""
+    return F.aggregate(
+        F.sequence(F.lit(1), F.size(bitmap), F.lit(words)),
+        F.array_repeat(F.lit(0).cast("long"), words),
+        lambda done, at: F.zip_with(done, F.slice(bitmap, at, words), lambda a, b: a.bitwiseXOR(b)),
+    )
+
+
+def _differing(x: Column, y: Column, words: int) -> Column:
+    """Bits in which two bitmaps of ``words`` differ. Only the smallest are written out word by word:
+    a longer expression is not compiled to machine code."""
+    if words == BITMAP_WORDS:
+        return sum((F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(words)), F.lit(0))
+    bits = F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    return F.aggregate(bits, F.lit(0), lambda total, n: total + n)
+
+
+def _met(lists: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components on a common list that pass length and bitmap bounds,
+    the smaller set with a bitmap of ``words``."""
+    above = largest_set(words // 2) if words > BITMAP_WORDS else 0
+    within = (F.col("n") > above) & (F.col("n") * percent <= 100 * largest_set(words))
+    maps = sets.where(within).select("doc_id", _folded(F.col("map"), words).alias("map"))
+    held = lists.where(within).join(maps, "doc_id")
+    x, y = held.alias("x"), held.alias("y")
     pairs = x.join(
         y,
         (F.col("x.s") == F.col("y.s"))
         & (F.col("x.doc_id") > F.col("y.doc_id"))
         & (F.col("x.root") != F.col("y.root"))
         & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
-        & (both_large if wide else ~both_large)
-        & (differing <= _allowed(F.col("x.n"), F.col("y.n"), percent)),
+        & (F.least("x.n", "y.n") <= largest_set(words))
+        & (_differing(F.col("x.map"), F.col("y.map"), words) <= _allowed(F.col("x.n"), F.col("y.n"), percent)),
     )
     return pairs.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
 
@@ -301,7 +333,7 @@ def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     some = sets.where("n > 0")
     classes = some.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
     reps = some.join(classes.select("rep"), some["doc_id"] == F.col("rep"), "left_semi").dropDuplicates(["doc_id", "k1", "k2"])
-    reps = stored(reps.select("doc_id", "n", "short", "bits", "coarse", "wide"), "ngram-classes")
+    reps = stored(reps.select("doc_id", "n", "short", "map"), "ngram-classes")
     lists = reps.select("doc_id", F.explode("short").alias("s"))
     on_list = Window.partitionBy("s")
     met = lists.withColumn("center", F.min("doc_id").over(on_list)).where("center <> doc_id")
@@ -328,12 +360,11 @@ def link_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         lists = apart.drop("root")
     if n_found:
         apart = stored(_open_lists(apart.drop("root"), labels), "ngram-open")
-    if apart.limit(1).count():
-        # Short sets compare small bitmaps; sets above WIDE_FROM also meet with wide ones, as small
-        # bitmaps tell nothing about them.
-        small = _met(apart.join(reps.select("doc_id", F.col("coarse").alias("map")), "doc_id"), BITMAP_WORDS, percent, False)
-        large = apart.where(F.col("n") > WIDE_FROM).join(reps.select("doc_id", F.col("wide").alias("map")), "doc_id")
-        more = small.unionByName(_met(large, WIDE_WORDS, percent, True)).distinct()
+    largest = apart.agg(F.max("n")).first()[0]
+    if largest is not None:
+        steps = [BITMAP_WORDS << i for i in range((bitmap_words(largest) // BITMAP_WORDS).bit_length())]
+        met = [_met(apart, reps, words, percent) for words in steps]
+        more = reduce(DataFrame.unionByName, met).distinct()
         more = stored(possible(more, reps, percent), "ngram-candidates")
         if more.limit(1).count():
             links = links.unionByName(verified(docs, more, width, percent))

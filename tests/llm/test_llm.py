@@ -6,9 +6,11 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import reduce
 
 import public_tokenizers
 import pytest
+from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from riskflow.llm import common, decontamination, fingerprints, language_model, line_dedup, mixing
@@ -314,6 +316,44 @@ def test_ngram_join_of_families_that_contract_slowly(spark):
         assert {i: r.component_id for i, r in got.items()} == root
 
 
+def test_unrelated_sets_on_one_list_are_kept_apart(spark, monkeypatch):
+    """Bitmaps grow with the sets, so unrelated sets of any size give no pairs in the last step."""
+    rng = random.Random(21)
+    make = lambda n: [f"w{rng.randint(0, 10**9)}" for _ in range(n)]
+    rows = []
+    for size in (300, 700, 6000):
+        shared = make(max(20, size // 20))
+        rows += [(100 * size + i, " ".join(shared + make(size))) for i in range(8)]
+    docs, met = spark.createDataFrame(rows, "doc_id long, text string"), []
+    possible = ngram_join.possible
+    monkeypatch.setattr(ngram_join, "possible", lambda pairs, *more: met.append(pairs.count()) or possible(pairs, *more))
+    got = by_id(ngram_join.link_components(docs, 5, 80))
+    assert all(r.component_id == i for i, r in got.items())
+    assert len(met) > 2 and met[-1] == 0  # the first two are the candidates and the neighbours
+
+
+def test_sets_meet_across_bitmap_sizes(spark):
+    """Of sets that are all on one list, each linked pair is met once, whatever their bitmaps."""
+    rng = random.Random(22)
+    make = lambda n: [f"w{rng.randint(0, 10**9)}" for _ in range(n)]
+    base, rows = make(9500), []
+    for size in (40, 210, 250, 262, 330, 500, 540, 1010, 1040, 1300, 4000, 4200, 8100, 8300, 9400):
+        rows += [(2 * size, " ".join(base[:size])), (2 * size + 1, " ".join(base[size // 25 : size] + make(size // 50)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    grams = {i: {tuple(t[k : k + 3]) for k in range(len(t) - 2)} for i, t in ((i, t.split()) for i, t in rows)}
+    for percent in (80, 40):
+        linked = {
+            (a, b) for a in grams for b in grams if a > b and 100 * len(grams[a] & grams[b]) >= percent * len(grams[a] | grams[b])
+        }
+        sets = common.stored(ngram_join.document_sets(docs, 3, percent, ngram_join.heavy_shingles(docs, 3)), "test-sets")
+        lists = sets.selectExpr("doc_id", "doc_id as root", "n", "1L as s")
+        steps = [ngram_join._met(lists, sets, w, percent) for w in (4, 8, 16, 32, 64, 128)]
+        met = [tuple(p) for p in reduce(DataFrame.unionByName, steps).collect()]
+        assert len(met) == len(set(met)) and linked <= set(met) and len(linked) > 20
+        kept = ngram_join.possible(spark.createDataFrame(sorted(linked), "a long, b long"), sets, percent)
+        assert kept.count() == len(linked)
+
+
 def test_line_dedup_of_crowded_words(spark):
     """Lines of few frequent words, unrelated ones and near copies, against brute force."""
     rng = random.Random(12)
