@@ -22,17 +22,15 @@ rows are scored and counted each time. Without training texts the model falls ba
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.llm.common import space_words, stored
-from riskflow.llm.symbols import triple_counts
+from riskflow.llm.symbols import WordTable, triple_counts, word_counts
 
 SIZE, FREQUENT, WIDTH = 192, 127, 24
 COMMON = 65_536
@@ -47,36 +45,6 @@ def word_class(word: bytes) -> int:
     return FREQUENT + 1 + zlib.crc32(word[-2:]) % (SIZE - FREQUENT - 1)
 
 
-class WordTable(dict):
-    """Word to a slot of two arrays, its hash and its symbol: one lookup per word of a text.
-
-    Words are forgotten between texts once there are more than ``limit`` of them or they hold more
-    than ``limit_bytes``; within a text all stay.
-    """
-
-    def __init__(self, frequent: dict[int, int], limit: int = 400_000, limit_bytes: int = 32 << 20) -> None:
-        self.frequent, self.limit, self.limit_bytes, self.bytes = frequent, limit, limit_bytes, 0
-        self.hashes, self.symbols = np.zeros(limit, np.int64), np.zeros(limit, np.int64)
-
-    def __missing__(self, word: bytes) -> int:
-        slot = self[word] = len(self)
-        if slot >= self.hashes.size:
-            self.hashes, self.symbols = (np.concatenate([a, np.zeros_like(a)]) for a in (self.hashes, self.symbols))
-        h = self.hashes[slot] = _signed(xxhash.xxh3_64_intdigest(word))
-        self.symbols[slot] = self.frequent.get(int(h)) or word_class(word)
-        self.bytes += len(word)
-        return slot
-
-    def read(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes and symbols of a text's words."""
-        if len(self) > self.limit or self.bytes > self.limit_bytes:
-            self.clear()
-            self.bytes = 0
-        words = space_words(text)
-        slots = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return self.hashes[slots], self.symbols[slots]
-
-
 def _framed(symbols: np.ndarray) -> np.ndarray:
     """Symbols between two starts and the end."""
     out = np.zeros(symbols.size + 3, np.int64)
@@ -84,40 +52,6 @@ def _framed(symbols: np.ndarray) -> np.ndarray:
     return out
 
 
-def _signed(h: int) -> int:
-    return h - (1 << 64) if h >> 63 else h
-
-
-def word_counts(docs: DataFrame) -> DataFrame:
-    """Columns w (hash), class, n over all texts. A task hands on one row per distinct word."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-
-        def block() -> pa.RecordBatch:
-            words = list(counts)
-            out = pa.RecordBatch.from_arrays(
-                [
-                    pa.array([_signed(xxhash.xxh3_64_intdigest(w)) for w in words], pa.int64()),
-                    pa.array([word_class(w) for w in words], pa.int32()),
-                    pa.array([counts[w] for w in words], pa.int64()),
-                ],
-                ["w", "class", "n"],
-            )
-            counts.clear()
-            return out
-
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counts.update(space_words(text))
-                if len(counts) > 400_000:
-                    yield block()
-        yield block()
-
-    rows = docs.select(F.col("text").cast("binary")).mapInArrow(run, "w long, class int, n long")
-    return rows.groupBy("w").agg(F.first("class").alias("class"), F.sum("n").alias("n"))
-
-
 def train_shard(p: Parameters, grams: np.ndarray, counts: np.ndarray, noise: np.ndarray, seed: int) -> Parameters:
     """Passes of noise-contrastive steps (with per-number learning rates) over all of a shard's triples.
 
@@ -226,7 +160,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out.alias("held_out"))
     training = rows.where(~F.col("held_out"))
-    counts = stored(word_counts(training), "lm-words")
+    counts = stored(word_counts(training, space_words, word_class), "lm-words")
     top = counts.orderBy(F.desc("n"), "w").limit(COMMON).collect()
     frequent = {r.w: i + 1 for i, r in enumerate(top[:FREQUENT])}
     ends = training.count()
@@ -244,8 +178,8 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
         totals[k] = per_class[k]
 
     def encode():
-        table = WordTable(frequent)
-        return lambda text: _framed(table.read(text)[1])
+        table = WordTable(frequent, word_class)
+        return lambda text: _framed(table.read(space_words(text))[1])
 
     parameters = train(triple_counts(training, encode, SIZE), totals)
     common = sorted((r.w, r.n) for r in top)
@@ -263,11 +197,11 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, frequent, words_known, logs_known, log_class, log_all, log_end, end_known = shared.value
-        words, table = WordTable(frequent), log_table(p)
+        words, table = WordTable(frequent, word_class), log_table(p)
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for text in batch.column(2).to_pylist():
-                h, own = words.read(text)
+                h, own = words.read(space_words(text))
                 s = _framed(own)
                 inside = float(table[(s[:-2] * SIZE + s[1:-1]) * SIZE + s[2:]].sum(dtype=np.float64))
                 logs, is_common = np.zeros(h.size), np.zeros(h.size, bool)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskflow.llm import common, language_model, mixing, quality, toxicity
+from riskflow.llm import common, language_model, mixing, quality, symbols, toxicity
 
 
 def test_language_model_learns_from_rare_triples():
@@ -94,3 +95,57 @@ def test_rates_are_worked_out_once(spark):
     assert hashes[0] == hashes[1] and kept.columns == rated.columns
     assert sorted(map(str, kept.collect())) == sorted(str(r) for r in rated.collect() if r.rate > 0)
     assert 0 < kept.count() < rated.count()
+
+
+def test_quality_tells_all_words_apart(spark, monkeypatch):
+    """Texts of the same symbols differ by their words, however rare; each word's probability is
+    its discounted count, without the document's own; kept counts and joined ones agree."""
+    rng = np.random.default_rng(5)
+    vocabulary = ["".join(chr(97 + int(c)) for c in rng.integers(0, 26, 6)) for _ in range(1500)]
+    texts = [" ".join(vocabulary[min(int(rng.zipf(1.3)) - 1, 1499)] for _ in range(60)) for _ in range(200)]
+    trusted = [*texts, "seldom twice", "seldom thrice", "lonely words"]
+    extra = ["seldom", "never", "never never", "", None]
+    rows = [(i, t, "en") for i, t in enumerate([*trusted, *extra])] + [(None, "seldom", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(len(trusted))], "doc_id long, quality int, toxic int")
+
+    def found():
+        return [tuple(r) for r in quality.report(docs, labels).orderBy("doc_id").collect()]
+
+    plain = found()
+    by_id = {r[0]: r for r in plain}
+    at = len(trusted)
+    assert by_id[at][3] * 1.5 < by_id[at + 1][3]  # one symbol, yet one word is known
+    assert by_id[None][3] == by_id[at][3] and by_id[at + 3][3] is None
+
+    model, counts, _ = quality.fit(docs, labels)
+    known = Counter(w for t in trusted for w in quality.fresh_words(t.encode()))
+    assert counts.count() == len(known) and counts.agg(F.sum("n")).first()[0] == sum(known.values())
+    frequent = {w for w in known if symbols.word_hash(w) in model.frequent}
+    classed = {w: n for w, n in known.items() if w not in frequent}
+    of_class = Counter()
+    for w, n in classed.items():
+        of_class[quality.shape(w)] += n
+    off = dict(enumerate(model.discounts, 1))
+    freed = Counter()
+    for w, n in classed.items():
+        freed[quality.shape(w)] += off[min(n, 3)]
+    encode = quality.encoder(model.frequent)
+    for i, text in enumerate([*trusted, *extra[:3]]):
+        s, words = encode(text.encode()), text.encode().split()
+        log = sum(float(model.table[a, b, c]) for a, b, c in zip(s, s[1:], s[2:]))
+        own = Counter(quality.fresh_words(text.encode())) if i < len(trusted) else Counter()
+        for a, w in zip([None, *words], words):
+            if w != a and w not in frequent:
+                k, n = quality.shape(w), known[w] - own[w]
+                log += math.log10(((n - off[min(n, 3)] if n else 0) + freed[k] / (len(known) + 1)) / of_class[k])
+        assert by_id[i][3] == pytest.approx(10 ** (-log / len(words)), rel=1e-6)
+
+    monkeypatch.setattr(quality, "COMMON", 50)
+    joined = found()
+    assert [r[:3] + r[4:] for r in joined] == [r[:3] + r[4:] for r in plain]
+    assert all(a[3] == pytest.approx(b[3], rel=1e-9) for a, b in zip(joined, plain) if a[3])
+    kept = quality.keep_good(docs, labels, reject_empty=True)
+    assert kept.columns == docs.columns
+    wanted = [(r[0], r[2]) for r in plain if not r[4] and r[2]]
+    assert sorted((r.doc_id or -1, len(r.text.split())) for r in kept.collect()) == sorted((i or -1, n) for i, n in wanted)
